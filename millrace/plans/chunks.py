@@ -96,10 +96,18 @@ def default_chunk_rows(df: DataFrame) -> int:
 class Layout:
     """Order of rows per key, plus the split points of keys too large for one task."""
 
-    def __init__(self, keys: list[str], order: list[str], splits: DataFrame | None):
+    def __init__(self, keys: list[str], order: list[str], splits: DataFrame | None, rows: int):
         self.keys = keys
         self.order = order
         self.splits = splits
+        self.rows = rows
+
+    def refine(self, group: list[str]) -> Layout:
+        """The same chunks for a finer grouping whose groups are unbroken runs of a key's order.
+
+        Use it on rows that this layout has assigned: it saves planning anew, and no shuffle is added.
+        """
+        return Layout(group, self.order, self.splits, self.rows)
 
     # -- chunk numbers ---------------------------------------------------------------------------
 
@@ -173,7 +181,7 @@ class Layout:
             .agg(*[summarise(run).alias(f"_sum_{n}") for n, run in runs.items()])
         )
         chunk_order = F.col(CHUNK).desc() if reverse else F.col(CHUNK).asc()
-        # At most two summaries per split point in total, so this window and broadcast stay small.
+        # A key has at most one summary per split point, so this window stays small.
         before = (
             Window.partitionBy(*(self.keys or [F.lit(0)]))
             .orderBy(chunk_order)
@@ -182,7 +190,10 @@ class Layout:
         carry = summary.select(
             *[F.col(n).alias(f"_c_{n}") for n in names],
             *[_FOLD[run.kind](F.col(f"_sum_{n}")).over(before).alias(f"_carry_{n}") for n, run in runs.items()],
+            F.count("*").over(before).alias("_earlier"),
         )
+        # Only groups that go on from an earlier chunk: at most one per split point.
+        carry = carry.where(F.col("_earlier") > 0).drop("_earlier")
         return rows.join(F.broadcast(carry), _null_safe(names, "_c_"), "left").drop(
             *[f"_c_{n}" for n in names]
         )
@@ -199,7 +210,7 @@ def layout(
     chunk_rows = chunk_rows or default_chunk_rows(df)
     rows = df.count()
     if rows <= chunk_rows:
-        return Layout(keys, order, None)
+        return Layout(keys, order, None, rows)
     rate = max(chunk_rows, math.ceil(rows / MAX_SPLITS))
     slim = df.select(*keys, *order) if keys else df.select(*order).withColumn(_ALL, F.lit(0))
     names = keys or [_ALL]
@@ -208,7 +219,7 @@ def layout(
         .groupBy(*names)
         .agg(F.array_sort(F.collect_list(_point(order))).alias(_SPLITS))
     )
-    return Layout(keys, order, splits)
+    return Layout(keys, order, splits, rows)
 
 
 def _point(order: list[str]) -> Column:
