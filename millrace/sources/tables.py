@@ -12,7 +12,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def stream_table(
     spark: SparkSession, path: str, schema: str, max_files: int | None = None
 ) -> DataFrame:
-    """New files below `path` arrive as rows; `max_files` bounds one micro-batch."""
+    """New files below `path` arrive as rows; `max_files` bounds one micro-batch.
+
+    The last letter goes into a glob, since a stream accepts a single file only as the match of a glob.
+    """
+    path = f"{path[:-1]}[{path[-1]}]"
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
