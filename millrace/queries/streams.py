@@ -24,7 +24,7 @@ from millrace.sources.text import stream_lines
 from millrace.streaming.jobs import top_n_batches, watermarked_pairs
 from millrace.streaming.processors import (
     CountWindow, DailyLimit, FailAfterFail, Inactivity, LastValue, OrderOutcome, Reconcile, RiseTimer, RollingStats,
-    StateKinds, run_processor,
+    StateKinds, run_processor, run_row_processor,
 )
 from millrace.streaming.replay import drain, replay, replayed, replayed_latest
 
@@ -133,7 +133,7 @@ def stream_pv_hourly(spark, folder):
 
     def build(end):
         rows = end.follow(feed(spark, folder, "view").select("ts")).withWatermark("ts", "10 minutes")
-        return tumble(rows, "ts", "1 hour", [], N).where(F.col("window_start") < "2900-01-01")
+        return tumble(rows, "ts", "1 hour", [], N).where(F.col("window_start") < "2200-01-01")
 
     out = replayed_latest(spark, "views", build, ["window_start", "window_end"])
     return plain_times(out, "window_start", "window_end")
@@ -250,8 +250,8 @@ def two_feeds(spark, folder, end):
         "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts")
     )
     return (
-        end.follow(views, "view_ts").withWatermark("view_ts", "0 seconds"),
-        end.follow(bought, "purchase_ts").withWatermark("purchase_ts", "0 seconds"),
+        end.follow(views, "view_ts", user_id=-1).withWatermark("view_ts", "0 seconds"),
+        end.follow(bought, "purchase_ts", user_id=-1).withWatermark("purchase_ts", "0 seconds"),
     )
 
 
@@ -264,7 +264,8 @@ def stream_window_join(spark, folder):
         joined = a.join(b, ["user_id", "window"])
         return joined.select("user_id", F.col("window.start").alias("window_start"), "view_id", "purchase_id")
 
-    return plain_times(replayed(spark, "window-join", build), "window_start")
+    out = replayed(spark, "window-join", build).where(F.col("user_id") >= 0)
+    return plain_times(out, "window_start")
 
 
 @query("stream_interval_join", SQL_INTERVAL_JOIN)
@@ -274,7 +275,7 @@ def stream_interval_join(spark, folder):
         joined = interval_join_stream(views, bought, ["user_id"], "view_ts", "purchase_ts", "5 hours", "5 hours")
         return joined.select("user_id", "view_id", "purchase_id")
 
-    return replayed(spark, "interval-join", build)
+    return replayed(spark, "interval-join", build).where(F.col("user_id") >= 0)
 
 
 @query(
@@ -291,7 +292,7 @@ def stream_interval_outer_join(spark, folder):
         joined = interval_join_stream(views, bought, ["user_id"], "view_ts", "purchase_ts", "5 hours", "5 hours", "left")
         return joined.select("user_id", "view_id", "purchase_id")
 
-    return replayed(spark, "outer-join", build).where(F.col("view_id").isNotNull())
+    return replayed(spark, "outer-join", build).where(F.col("user_id") >= 0)
 
 
 # ---- keyed state and timers ----------------------------------------------------------------------
@@ -397,7 +398,7 @@ def stream_order_timeout(spark, folder):
         both = create.withColumn("event_type", F.lit("create")).unionByName(pay.withColumn("event_type", F.lit("pay")))
         rows = end.follow(both.withColumnRenamed("order_key", "order_id")).withWatermark("ts", "3650 days")
         step = OrderOutcome(span_us("180 days"), span_us("3650 days"))
-        return run_processor(rows, ["order_id"], step, step.schema)
+        return run_row_processor(rows, ["order_id"], step, step.schema)
 
     out = replayed(spark, "orders", build)
     return out.select("order_id", at("create_us").alias("create_ts"), at("pay_us").alias("pay_ts"), "outcome")
@@ -410,7 +411,7 @@ def stream_reconcile(spark, folder):
         both = left.withColumn("is_left", F.lit(True)).unionByName(right.withColumn("is_left", F.lit(False)))
         rows = end.follow(both).withWatermark("ts", "3650 days")
         step = Reconcile(span_us("3650 days"))
-        return run_processor(rows, ["order_key"], step, step.schema)
+        return run_row_processor(rows, ["order_key"], step, step.schema)
 
     out = replayed(spark, "reconcile", build)
     return out.select("order_key", at("order_us").alias("order_ts"), at("ship_us").alias("ship_ts"), "side")

@@ -12,7 +12,7 @@ from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -25,6 +25,12 @@ def run_processor(df: DataFrame, keys: list[str], processor: StatefulProcessor,
     return timed.groupBy(*keys).transformWithStateInPandas(processor, schema, "Append", "EventTime")
 
 
+def run_row_processor(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: str) -> DataFrame:
+    """The same for processors of single rows: cheaper where keys have a handful of rows each."""
+    timed = df.withColumn("us", F.unix_micros("ts"))
+    return timed.groupBy(*keys).transformWithState(processor, schema, "Append", "EventTime")
+
+
 def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(list(rows), ignore_index=True).sort_values(["us", "event_id"], ignore_index=True)
 
@@ -254,7 +260,7 @@ class DailyLimit(Processor):
         days = [int(d) for d in df.day.unique()]
         before = {d: self.seen.getValue((d,))[0] if self.seen.containsKey((d,)) else 0 for d in days}
         df["nth"] = df.groupby("day").cumcount() + 1 + df.day.map(before)
-        for day, nth in df.groupby("day").nth.max().items():
+        for day, nth in df.groupby("day")["nth"].max().items():
             if not before[day]:
                 self.handle.registerTimer((int(day) + 1) * DAY_US // 1000)
             self.seen.updateValue((int(day),), (int(nth),))
@@ -285,32 +291,31 @@ class OrderOutcome(Processor):
         self.handle = handle
         self.half = handle.getValueState("half", "create_us long, pay_us long, timer_ms long")
 
-    def _result(self, key, create, pay):
+    def _result(self, key, create, pay) -> Row:
         if create is None:
             outcome = "create_missing"
         elif pay is None:
             outcome = "timeout"
         else:
             outcome = "paid" if pay <= create + self.limit_us else "paid_late"
-        times = {"create_us": pd.array([create], "Int64"), "pay_us": pd.array([pay], "Int64")}
-        return pd.DataFrame({"order_id": [key[0]], **times, "outcome": [outcome]})
+        return Row(order_id=key[0], create_us=create, pay_us=pay, outcome=outcome)
 
     def rows(self, key, rows):
         create, pay, timer = self.half.get() or (None, None, None)
-        for frame in rows:
-            for kind, us in frame.groupby("event_type").us.min().items():
-                if kind == "create":
-                    create = min(int(us), create if create is not None else int(us))
-                else:
-                    pay = min(int(us), pay if pay is not None else int(us))
+        for row in rows:
+            if row.event_type == "create":
+                create = row.us if create is None else min(create, row.us)
+            else:
+                pay = row.us if pay is None else min(pay, row.us)
         if create is not None and pay is not None:
             if timer is not None:
                 self.handle.deleteTimer(timer)
-            self.half.clear()
+                self.half.clear()
             yield self._result(key, create, pay)
-        elif timer is None:
-            timer = to_ms((create if create is not None else pay) + self.hold_us)
-            self.handle.registerTimer(timer)
+        else:
+            if timer is None:
+                timer = to_ms((create if create is not None else pay) + self.hold_us)
+                self.handle.registerTimer(timer)
             self.half.update((create, pay, timer))
 
     def timer(self, key, at_ms):
@@ -320,7 +325,8 @@ class OrderOutcome(Processor):
 
 
 class Reconcile(Processor):
-    """Pair rows of two feeds per key in order, each once; what is left after `hold_us` comes out alone."""
+    """Pair rows of two feeds per key in order, each once; what is left `hold_us` after the key's newest row
+    comes out alone.  Only one side can be waiting, since two waiting rows would be a pair."""
 
     schema = "order_key long, order_us long, ship_us long, side string"
 
@@ -330,42 +336,41 @@ class Reconcile(Processor):
     def init(self, handle):
         self.handle = handle
         self.waiting = handle.getListState("waiting", "is_left boolean, us long")
+        self.due = handle.getValueState("due", "timer_ms long")
 
     @staticmethod
-    def _frame(key, rows):
-        left, right, side = zip(*rows, strict=True)
-        return pd.DataFrame(
-            {"order_key": key[0], "order_us": pd.array(left, "Int64"), "ship_us": pd.array(right, "Int64"), "side": side}
-        )
+    def _alone(key, left: bool, us: int) -> Row:
+        if left:
+            return Row(order_key=key[0], order_us=us, ship_us=None, side="left_only")
+        return Row(order_key=key[0], order_us=None, ship_us=us, side="right_only")
 
     def rows(self, key, rows):
-        held = [tuple(r) for r in self.waiting.get()] if self.waiting.exists() else []
-        sides = {True: deque(us for left, us in held if left), False: deque(us for left, us in held if not left)}
-        df = pd.concat(list(rows)).sort_values("us")
-        for row in df.itertuples():
-            sides[bool(row.is_left)].append(int(row.us))
-        pairs = [(sides[True].popleft(), sides[False].popleft(), "matched") for _ in range(min(map(len, sides.values())))]
-        rest = [(True, us) for us in sides[True]] + [(False, us) for us in sides[False]]
+        fresh = sorted((row.us, row.is_left) for row in rows)
+        due = self.due.get()
+        sides = {True: deque(), False: deque()}
+        if due:
+            for left, us in self.waiting.get():
+                sides[left].append(us)
+            self.handle.deleteTimer(due[0])
+        for us, left in fresh:
+            sides[left].append(us)
+        while sides[True] and sides[False]:
+            yield Row(order_key=key[0], order_us=sides[True].popleft(), ship_us=sides[False].popleft(), side="matched")
+        rest = [(left, us) for left, times in sides.items() for us in times]
         if rest:
+            timer = to_ms(max(us for _, us in rest) + self.hold_us)
             self.waiting.put(rest)
-            self.handle.registerTimer(to_ms(int(df.us.max()) + self.hold_us))
-        else:
+            self.due.update((timer,))
+            self.handle.registerTimer(timer)
+        elif due:
             self.waiting.clear()
-        if pairs:
-            yield self._frame(key, pairs)
+            self.due.clear()
 
     def timer(self, key, at_ms):
-        if not self.waiting.exists():
-            return
-        rows = [tuple(r) for r in self.waiting.get()]
-        old = [r for r in rows if to_ms(r[1] + self.hold_us) <= at_ms]
-        fresh = [r for r in rows if to_ms(r[1] + self.hold_us) > at_ms]
-        if fresh:
-            self.waiting.put(fresh)
-        else:
-            self.waiting.clear()
-        if old:
-            yield self._frame(key, [(us, None, "left_only") if left else (None, us, "right_only") for left, us in old])
+        for left, us in self.waiting.get():
+            yield self._alone(key, left, us)
+        self.waiting.clear()
+        self.due.clear()
 
 
 class FailAfterFail(Processor):

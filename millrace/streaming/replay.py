@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.plans.staging import fresh_dir
 from millrace.sinks.batches import BatchWriter, parquet_batches, read_batches
 
-END_OF_TIME = "2900-01-01 00:00:00"
+END_OF_TIME = "2200-01-01 00:00:00"
 _SCHEMA = "end timestamp"
 
 
@@ -27,11 +27,14 @@ class EndMarker:
         self.path = path
         spark.createDataFrame([], _SCHEMA).write.parquet(path)
 
-    def follow(self, feed: DataFrame, ts: str = "ts") -> DataFrame:
-        """`feed`, and the marker once it is set: null in every column but the event time."""
+    def follow(self, feed: DataFrame, ts: str = "ts", **values) -> DataFrame:
+        """`feed`, and the marker once it is set: null in every column but the event time and `values`.
+
+        The join key of an outer join needs a value: the join drops null keys ahead of the watermark.
+        """
         marker = self.spark.readStream.schema(_SCHEMA).parquet(self.path)
         columns = [
-            F.col("end").alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name)
+            F.col("end").alias(f.name) if f.name == ts else F.lit(values.get(f.name)).cast(f.dataType).alias(f.name)
             for f in feed.schema
         ]
         return feed.unionByName(marker.select(*columns))
