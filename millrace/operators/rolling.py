@@ -32,9 +32,9 @@ def running_count(df: DataFrame, keys: list[str], order: list[str], out: str = "
 
 def running_distinct(df: DataFrame, item: str, order: list[str], out: str = "n") -> DataFrame:
     """Distinct items seen so far, after each row: count the rows that are the first of their item."""
-    seen = layout(df, [item], order).running(df, _nth=run_count())
-    first = seen.withColumn("_first", (F.col("_nth") == 1).cast("long")).drop("_nth")
-    return layout(df, [], order).running(first, **{out: run_sum(F.col("_first"))}).drop("_first")
+    per_item, overall = layout(df, [item], order), layout(df, [], order)
+    seen = per_item.running(df, _nth=run_count())
+    return overall.running(seen, **{out: run_count(F.col("_nth") == 1)}).drop("_nth")
 
 
 def peer_count(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from millrace.operators.patterns import Pattern, match, match_or_timeout
 from millrace.queries.registry import ORDER, SQL_ORDERS, events, order_events, query
 
-KIND = F.col("event_type")
 W = "window w as (partition by user_id order by ts, event_id)"
 SQL_LOGIN = (
     "select user_id, event_id as fail_id, next_id from (select *, lead(event_type) over w as nt, lead(ts) over w as ns, "
@@ -14,6 +13,10 @@ SQL_LOGIN = (
 )
 
 
+def kind():
+    return F.col("event_type")
+
+
 def rows(spark, folder):
     return events(spark, folder).select("event_id", "user_id", "event_type", "ts", "value")
 
@@ -25,12 +28,12 @@ def find(spark, folder, pattern, **names):
 
 @query("cep_single", "select user_id, event_id as start_id from events where event_type = 'view' and value > 50")
 def cep_single(spark, folder):
-    return find(spark, folder, Pattern.begin("start", KIND == "view").where(F.col("value") > 50), start="start_id")
+    return find(spark, folder, Pattern.begin("start", kind() == "view").where(F.col("value") > 50), start="start_id")
 
 
 @query("cep_or", "select user_id, event_id as start_id from events where event_type = 'view' or value > 50")
 def cep_or(spark, folder):
-    return find(spark, folder, Pattern.begin("start", KIND == "view").or_(F.col("value") > 50), start="start_id")
+    return find(spark, folder, Pattern.begin("start", kind() == "view").or_(F.col("value") > 50), start="start_id")
 
 
 @query(
@@ -39,7 +42,7 @@ def cep_or(spark, folder):
     f"lead(event_id) over w as next_id from events {W}) where event_type = 'view' and nt = 'purchase'",
 )
 def cep_next(spark, folder):
-    pattern = Pattern.begin("start", KIND == "view").next("then", KIND == "purchase")
+    pattern = Pattern.begin("start", kind() == "view").next("then", kind() == "purchase")
     return find(spark, folder, pattern, start="start_id", then="next_id")
 
 
@@ -53,13 +56,13 @@ SQL_FOLLOWED = (
 
 @query("cep_followed_by", f"select user_id, start_id, next_id from ({SQL_FOLLOWED}) where next_id is not null")
 def cep_followed_by(spark, folder):
-    pattern = Pattern.begin("start", KIND == "view").followed_by("then", KIND == "purchase")
+    pattern = Pattern.begin("start", kind() == "view").followed_by("then", kind() == "purchase")
     return find(spark, folder, pattern, start="start_id", then="next_id")
 
 
 @query("cep_within", f"select user_id, start_id, next_id from ({SQL_FOLLOWED}) where next_ts < ts + interval 6 hour")
 def cep_within(spark, folder):
-    pattern = Pattern.begin("start", KIND == "view").followed_by("then", KIND == "purchase").within("6 hours")
+    pattern = Pattern.begin("start", kind() == "view").followed_by("then", kind() == "purchase").within("6 hours")
     return find(spark, folder, pattern, start="start_id", then="next_id")
 
 
@@ -69,7 +72,7 @@ def cep_within(spark, folder):
     "where v.event_type = 'view' and p.event_type = 'purchase' and p.ts > v.ts and p.ts < v.ts + interval 6 hour",
 )
 def cep_followed_by_any(spark, folder):
-    pattern = Pattern.begin("start", KIND == "view").followed_by_any("then", KIND == "purchase").within("6 hours")
+    pattern = Pattern.begin("start", kind() == "view").followed_by_any("then", kind() == "purchase").within("6 hours")
     return find(spark, folder, pattern, start="start_id", then="next_id")
 
 
@@ -82,7 +85,7 @@ def cep_followed_by_any(spark, folder):
 )
 def cep_times(spark, folder):
     """Two or three errors of a user, other events between them being skipped, within two days."""
-    pattern = Pattern.begin("fail", KIND == "error").times(2, 3).within("2 days")
+    pattern = Pattern.begin("fail", kind() == "error").times(2, 3).within("2 days")
     return find(spark, folder, pattern, fail_1="id_1", fail_2="id_2", fail_3="id_3")
 
 
@@ -98,20 +101,20 @@ def cep_times(spark, folder):
 )
 def cep_next_times(spark, folder):
     """A loop after a strict step: the first error directly after the view, the second one relaxed."""
-    pattern = Pattern.begin("start", KIND == "view").next("fail", KIND == "error").times(2)
+    pattern = Pattern.begin("start", kind() == "view").next("fail", kind() == "error").times(2)
     return find(spark, folder, pattern, start="start_id", fail_1="id_1", fail_2="id_2")
 
 
 @query("cep_login", SQL_LOGIN)
 def cep_login(spark, folder):
-    pattern = Pattern.begin("fail", KIND == "error").next("again", KIND == "error").within("6 hours")
+    pattern = Pattern.begin("fail", kind() == "error").next("again", kind() == "error").within("6 hours")
     return find(spark, folder, pattern, fail="fail_id", again="next_id")
 
 
 def order_pattern(spark, folder):
     # At most one event of each type per order, so time and type give a unique order.
     pattern = (
-        Pattern.begin("create", KIND == "create").followed_by("pay", KIND == "pay").within("180 days 1 millisecond")
+        Pattern.begin("create", kind() == "create").followed_by("pay", kind() == "pay").within("180 days 1 millisecond")
     )
     return match_or_timeout(order_events(spark, folder), pattern, ["order_id"], ["ts", "event_type"], ["ts"])
 

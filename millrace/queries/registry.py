@@ -47,6 +47,10 @@ def item(props: str = "props"):
     return F.get_json_object(props, "$.k").cast("long")
 
 
+def row_count():
+    return F.count("*").alias("n")
+
+
 def behaviour(spark: SparkSession, folder: str, *types: str) -> DataFrame:
     """User behaviour: who did what to which item."""
     return events(spark, folder, *types).select("event_id", "user_id", item().alias("item"), "event_type", "ts")

@@ -12,7 +12,7 @@ from millrace.plans.staging import fresh_dir
 from millrace.queries.aggregates import ROLL
 from millrace.queries.joins import SQL_INTERVAL_JOIN, SQL_PAIRS, SQL_UNION, SQL_WINDOW_JOIN
 from millrace.queries.patterns import SQL_LOGIN
-from millrace.queries.registry import ORDER, events, item, query
+from millrace.queries.registry import ORDER, events, item, query, row_count
 from millrace.queries.sources import SQL_LATEST, SQL_LINES, staged_text
 from millrace.queries.state import SQL_DAILY, SQL_LAST_VALUE, SQL_OUTCOME, SQL_RISE
 from millrace.queries.topn import SQL_HOT_ITEMS
@@ -28,7 +28,6 @@ from millrace.streaming.processors import (
 )
 from millrace.streaming.replay import drain, replay, replayed, replayed_latest
 
-N = F.count("*").alias("n")
 # Input of one micro-batch, which also bounds what a stateful processor sees of one key at a time.
 MAX_FILES = 1000
 
@@ -78,7 +77,7 @@ def stream_wordcount(spark, folder):
 def stream_win_tumble(spark, folder):
     def build(end):
         rows = end.follow(feed(spark, folder).select("event_type", "ts")).withWatermark("ts", "0 seconds")
-        return tumble(rows, "ts", "1 hour", ["event_type"], N)
+        return tumble(rows, "ts", "1 hour", ["event_type"], row_count())
 
     return window_job(spark, "tumble", build)
 
@@ -87,7 +86,7 @@ def stream_win_tumble(spark, folder):
 def stream_win_slide(spark, folder):
     def build(end):
         rows = end.follow(feed(spark, folder).select("event_type", "ts")).withWatermark("ts", "0 seconds")
-        return slide(rows, "ts", "1 hour", "15 minutes", ["event_type"], N)
+        return slide(rows, "ts", "1 hour", "15 minutes", ["event_type"], row_count())
 
     return window_job(spark, "slide", build)
 
@@ -96,7 +95,7 @@ def stream_win_slide(spark, folder):
 def stream_win_session(spark, folder):
     def build(end):
         rows = end.follow(feed(spark, folder).select("user_id", "ts")).withWatermark("ts", "0 seconds")
-        return session_stream(rows, "ts", "6 hours", ["user_id"], N)
+        return session_stream(rows, "ts", "6 hours", ["user_id"], row_count())
 
     return plain_times(replayed(spark, "session", build), "session_start", "session_end")
 
@@ -104,7 +103,7 @@ def stream_win_session(spark, folder):
 @query("stream_win_all", SQL_ALL)
 def stream_win_all(spark, folder):
     def build(end):
-        return tumble(end.follow(feed(spark, folder).select("ts")).withWatermark("ts", "0 seconds"), "ts", "1 hour", [], N)
+        return tumble(end.follow(feed(spark, folder).select("ts")).withWatermark("ts", "0 seconds"), "ts", "1 hour", [], row_count())
 
     return window_job(spark, "all", build)
 
@@ -112,7 +111,7 @@ def stream_win_all(spark, folder):
 def hourly_views(spark, folder, delay):
     def build(end):
         rows = end.follow(feed(spark, folder, "view").select("ts")).withWatermark("ts", delay)
-        return tumble(rows, "ts", "1 hour", [], N)
+        return tumble(rows, "ts", "1 hour", [], row_count())
 
     return window_job(spark, "views", build)
 
@@ -133,7 +132,7 @@ def stream_pv_hourly(spark, folder):
 
     def build(end):
         rows = end.follow(feed(spark, folder, "view").select("ts")).withWatermark("ts", "10 minutes")
-        return tumble(rows, "ts", "1 hour", [], N).where(F.col("window_start") < "2200-01-01")
+        return tumble(rows, "ts", "1 hour", [], row_count()).where(F.col("window_start") < "2200-01-01")
 
     out = replayed_latest(spark, "views", build, ["window_start", "window_end"])
     return plain_times(out, "window_start", "window_end")
@@ -148,7 +147,7 @@ def stream_flush_all_windows(spark, folder):
     """Not one window, nor a row in them, is missing at the end of a bounded stream."""
 
     def build(end):
-        return tumble(end.follow(feed(spark, folder).select("ts")).withWatermark("ts", "3 seconds"), "ts", "5 seconds", [], N)
+        return tumble(end.follow(feed(spark, folder).select("ts")).withWatermark("ts", "3 seconds"), "ts", "5 seconds", [], row_count())
 
     return replayed(spark, "flush", build).agg(F.count("*").alias("windows"), F.sum("n").alias("n"))
 
@@ -164,7 +163,7 @@ def wm_min_of_inputs(spark, folder):
     def build(end):
         views = end.follow(feed(spark, folder, "view").select("ts")).withWatermark("ts", "0 seconds")
         bought = end.follow(feed(spark, folder, "purchase").select("ts")).withWatermark("ts", "30 minutes")
-        return tumble(union_all(views, bought), "ts", "1 hour", [], N)
+        return tumble(union_all(views, bought), "ts", "1 hour", [], row_count())
 
     return window_job(spark, "inputs", build)
 
@@ -184,7 +183,7 @@ def stream_hot_items_topn(spark, folder):
     def build(end):
         views = feed(spark, folder, "view").select(item().alias("item"), "ts")
         rows = end.follow(views).withWatermark("ts", "0 seconds")
-        return slide(rows, "ts", "1 hour", "5 minutes", ["item"], N)
+        return slide(rows, "ts", "1 hour", "5 minutes", ["item"], row_count())
 
     by = [F.col("n").desc(), F.col("item").asc()]
     target = replay(spark, "hot", build, writer=lambda path: top_n_batches(path, ["window_end"], by, 3))

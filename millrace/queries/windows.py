@@ -5,10 +5,9 @@ from pyspark.sql import functions as F
 from millrace.operators.counts import exact_visitors
 from millrace.operators.rolling import peer_count
 from millrace.operators.windows import count_slide, count_tumble, fire_per_row, sessions, slide_count, tumble
-from millrace.queries.registry import ORDER, events, query
+from millrace.queries.registry import ORDER, events, query, row_count
 from millrace.sources.external import register_view
 
-N = F.count("*").alias("n")
 HOUR = "time_bucket(interval 1 hour, ts) as window_start, time_bucket(interval 1 hour, ts) + interval 1 hour as window_end"
 
 SQL_TUMBLE = f"select {HOUR}, event_type, count(*) as n from events group by all"
@@ -35,7 +34,7 @@ SQL_UV = f"select {HOUR}, count(distinct user_id) as uv from events where event_
 
 @query("win_tumble_count", SQL_TUMBLE)
 def win_tumble_count(spark, folder):
-    return tumble(events(spark, folder), "ts", "1 hour", ["event_type"], N)
+    return tumble(events(spark, folder), "ts", "1 hour", ["event_type"], row_count())
 
 
 @query("win_slide_count", SQL_SLIDE)
@@ -46,7 +45,7 @@ def win_slide_count(spark, folder):
 @query("win_session_count", SQL_SESSION)
 def win_session_count(spark, folder):
     rows = events(spark, folder).select("user_id", "ts", "event_id")
-    return sessions(rows, "ts", "6 hours", ["user_id"], ORDER, N)
+    return sessions(rows, "ts", "6 hours", ["user_id"], ORDER, row_count())
 
 
 @query("win_count_tumble", SQL_COUNT_TUMBLE)
@@ -68,7 +67,7 @@ def win_count_slide(spark, folder):
 
 @query("win_all_count", SQL_ALL)
 def win_all_count(spark, folder):
-    return tumble(events(spark, folder), "ts", "1 hour", [], N)
+    return tumble(events(spark, folder), "ts", "1 hour", [], row_count())
 
 
 @query(
@@ -87,7 +86,7 @@ def win_incremental_sum(spark, folder):
 def win_full_process(spark, folder):
     """Facts on all elements of a window, with its bounds, as mergeable aggregates."""
     return tumble(
-        events(spark, folder), "ts", "1 hour", ["event_type"], N,
+        events(spark, folder), "ts", "1 hour", ["event_type"], row_count(),
         F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
         F.min("value").alias("lowest"), F.max("value").alias("highest"),
     )
@@ -105,7 +104,7 @@ def win_per_event_trigger(spark, folder):
 
 @query("pv_hourly", SQL_PV)
 def pv_hourly(spark, folder):
-    return tumble(events(spark, folder, "view"), "ts", "1 hour", [], N)
+    return tumble(events(spark, folder, "view"), "ts", "1 hour", [], row_count())
 
 
 @query("uv_hourly", SQL_UV)
