@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.windows import slide_count
+from millrace.functions.times import from_micros, span_us
+from millrace.operators.windows import pane_counts, slide_count
+from millrace.plans.chunks import layout, run_sum
+from millrace.plans.skew import salted_join
+from millrace.plans.staging import checkpointed
+
+# Up to so many windows per row, copying pane counts into each window is the cheapest plan.
+MAX_COPIES = 24
 
 
 def top_n(df: DataFrame, group: list[str], by: list[Column], n: int) -> DataFrame:
@@ -15,9 +24,74 @@ def top_n(df: DataFrame, group: list[str], by: list[Column], n: int) -> DataFram
 
 
 def hot_in_windows(
-    df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str], n: int
+    df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str], n: int, max_copies: int = MAX_COPIES
 ) -> DataFrame:
     """The `n` most frequent keys of each sliding window; ties go to the smaller key."""
-    counts = slide_count(df, ts, size, slide_by, keys)
+    if span_us(size) <= max_copies * span_us(slide_by):
+        counts = slide_count(df, ts, size, slide_by, keys)
+    else:
+        counts = _contenders(df, ts, size, slide_by, keys, n)
     ranked = top_n(counts, ["window_end"], [F.col("n").desc(), *[F.col(k).asc() for k in keys]], n)
     return ranked.select("window_end", *keys, "n", "rk")
+
+
+def slide_stretches(df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str]) -> DataFrame:
+    """Sliding window counts as stretches: the windows starting in [_from, _to) all count `n` rows.
+
+    A pane raises the count at the first window that holds it and lowers it after the last one, so there
+    are at most two stretches per pane, however many windows a pane is in.
+    """
+    width, step = span_us(size), span_us(slide_by)
+    panes = checkpointed(pane_counts(df, ts, size, slide_by, keys))
+    on_grid = lambda at: at - F.pmod(at, F.lit(step))
+    change = lambda at, n: F.struct(at.alias("_from"), n.alias("_change"))
+    pane = F.col("_pane")
+    both = F.array(
+        change(on_grid(pane - width) + step, F.col("n")), change(on_grid(pane) + step, -F.col("n"))
+    )
+    changes = panes.select(*keys, F.inline(both)).groupBy(*keys, "_from").agg(F.sum("_change").alias("_change"))
+    plan = layout(changes, keys, ["_from"])
+    rows = plan.running(plan.assign(changes), n=run_sum(F.col("_change")))
+    rows = plan.neighbour(rows, "_next", ["_from"], ahead=True)
+    return rows.where(F.col("n") > 0).select(*keys, "_from", F.col("_next._from").alias("_to"), "n")
+
+
+def _contenders(df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str], n: int) -> DataFrame:
+    """Counts per window of all keys that can be among its top `n`, and of few others.
+
+    Time is cut into cells of several windows.  In a cell a key has a lowest count, if it is present
+    throughout, and a highest one.  The n-th best lowest count is a bar: a key whose highest count is below
+    it is beaten by n keys in every window of the cell, and is dropped before stretches become windows.
+    """
+    width, step = span_us(size), span_us(slide_by)
+    cell_us = step * math.ceil(math.sqrt(2 * width / step))
+    cell_of = lambda at: at - F.pmod(at, F.lit(cell_us))
+    stretches = slide_stretches(df, ts, size, slide_by, keys)
+    touched = F.sequence(cell_of(F.col("_from")), cell_of(F.col("_to") - step), F.lit(cell_us).cast("long"))
+    begin, end = F.greatest("_from", "_cell"), F.least(F.col("_to"), F.col("_cell") + cell_us)
+    pieces = stretches.withColumn("_cell", F.explode(touched))
+    # The pieces of a key in a cell are at most as many as the cell has windows.
+    cells = checkpointed(
+        pieces.groupBy("_cell", *keys).agg(
+            F.sum(end - begin).alias("_covered"),
+            F.min("n").alias("_low"),
+            F.max("n").alias("_high"),
+            F.collect_list(F.struct(begin.alias("_from"), end.alias("_to"), "n")).alias("_pieces"),
+        )
+    )
+    throughout = cells.where(F.col("_covered") == cell_us).select("_cell", "_low", *keys)
+    best = top_n(throughout, ["_cell"], [F.col("_low").desc(), *[F.col(k).asc() for k in keys]], n)
+    bar = best.where(F.col("rk") == n).select(
+        "_cell", F.col("_low").alias("_bar"), F.struct(*keys).alias("_bar_key")
+    )
+    open_cells = salted_join(cells, bar, ["_cell"], "left", left_by=keys)
+    kept = open_cells.where(
+        F.col("_bar").isNull()
+        | (F.col("_high") > F.col("_bar"))
+        | ((F.col("_high") == F.col("_bar")) & (F.struct(*keys) <= F.col("_bar_key")))
+    )
+    runs = kept.select(*keys, F.inline("_pieces"))
+    starts = F.sequence(F.col("_from"), F.col("_to") - step, F.lit(step).cast("long"))
+    return runs.select(*keys, "n", F.explode(starts).alias("_start")).select(
+        *keys, "n", from_micros(F.col("_start") + width).alias("window_end")
+    )

@@ -25,6 +25,11 @@ def slide(df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str], *ag
     return flat_window(df.groupBy(F.window(ts, size, slide_by), *keys).agg(*aggs))
 
 
+def tumble_processing_time(df: DataFrame, size: str, keys: list[str], *aggs: Column) -> DataFrame:
+    """Tumbling windows on the time a micro-batch is processed."""
+    return tumble(df.withColumn("_now", F.current_timestamp()), "_now", size, keys, *aggs)
+
+
 def flat_window(df: DataFrame) -> DataFrame:
     """The window struct as `window_start` and `window_end`."""
     kept = [c for c in df.columns if c != "window"]

@@ -18,10 +18,10 @@ from millrace.queries.state import SQL_DAILY, SQL_LAST_VALUE, SQL_OUTCOME, SQL_R
 from millrace.queries.topn import SQL_HOT_ITEMS
 from millrace.queries.windows import SQL_ALL, SQL_COUNT_TUMBLE, SQL_PV, SQL_SESSION, SQL_SLIDE, SQL_TUMBLE, SQL_UV
 from millrace.schemas import EVENTS
-from millrace.sinks.batches import parquet_batches, read_batches, read_upserts, split_batches, upsert_batches
+from millrace.sinks.batches import latest_per_key, parquet_batches, read_batches, read_upserts, split_batches, upsert_batches
 from millrace.sources.tables import stream_table
 from millrace.sources.text import stream_lines
-from millrace.streaming.jobs import top_n_batches, watermarked_pairs
+from millrace.streaming.jobs import rule_batches, top_n_batches, watermarked_pairs
 from millrace.streaming.processors import (
     CountWindow, DailyLimit, FailAfterFail, Inactivity, LastValue, OrderOutcome, Reconcile, RiseTimer, RollingStats,
     StateKinds, run_processor, run_row_processor,
@@ -243,6 +243,23 @@ def stream_union(spark, folder):
     return read_batches(spark, f"{target}/out").drop("batch")
 
 
+@query(
+    "stream_rule_switch",
+    "select e.event_id, e.user_id, r.switch from events e left join (select user_id, case when value > 20 then 'true' else "
+    "'false' end as switch, row_number() over (partition by user_id order by ts desc, event_id desc) as back from events "
+    "where event_type = 'signup') r on e.user_id = r.user_id and back = 1 where e.event_type <> 'signup'",
+)
+def stream_rule_switch(spark, folder):
+    """Each user's newest switch from a rule table that is read again for every micro-batch."""
+    switch = F.when(F.col("value") > 20, "true").otherwise("false").alias("switch")
+    control = events(spark, folder, "signup").select("user_id", *ORDER, switch)
+    rules = lambda: latest_per_key(control, ["user_id"], ORDER, ["switch"])
+    target = fresh_dir(spark, "switch")
+    rows = feed(spark, folder).where(F.col("event_type") != "signup").select("event_id", "user_id")
+    drain(rows, rule_batches(f"{target}/out", rules, ["user_id"]), f"{target}/checkpoint")
+    return read_batches(spark, f"{target}/out").drop("batch")
+
+
 def two_feeds(spark, folder, end):
     views = feed(spark, folder, "view").select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"))
     bought = feed(spark, folder, "purchase").select(

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.times import interval, window_start
 from millrace.operators.topn import top_n
-from millrace.sinks.batches import BatchWriter, parquet_batches
+from millrace.plans.skew import small
+from millrace.sinks.batches import BatchWriter, parquet_batches, split_batches
 
 
 def top_n_batches(path: str, group: list[str], by: list[Column], n: int) -> BatchWriter:
@@ -19,3 +23,28 @@ def watermarked_pairs(df: DataFrame, ts: str, size: str, key: str) -> DataFrame:
     """First row of each (window, key): the streaming form of an exact distinct count per window."""
     window = F.window(ts, size)
     return df.select(window.alias("window"), F.col(key)).dropDuplicates(["window", key])
+
+
+def rule_batches(path: str, rules: Callable[[], DataFrame], on: list[str]) -> BatchWriter:
+    """Join each micro-batch with the rules as they stand when it runs; a changed rule table counts from the
+    next micro-batch on.  The rules are broadcast if they are counted to be few."""
+    return parquet_batches(path, lambda batch: batch.join(small(rules()), on, "left"))
+
+
+def late_batches(path: str, ts: str, size: str, delay: str, lateness: str) -> BatchWriter:
+    """Send rows whose window had closed before their micro-batch to `late`, the others to `main`.
+
+    `seen` keeps the highest event time of each batch, so a restarted query goes on with the same watermark.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        late = F.lit(False)
+        if batch_id > 0:
+            seen = batch.sparkSession.read.option("basePath", f"{path}/seen").parquet(f"{path}/seen/batch=*")
+            watermark = F.lit(seen.where(F.col("batch") < batch_id).agg(F.max("top")).first()[0]) - interval(delay)
+            closes = window_start(ts, size) + interval(size) - interval("1 millisecond") + interval(lateness)
+            late = F.coalesce(closes <= watermark.cast("timestamp_ntz"), F.lit(False))
+        split_batches(path, {"main": lambda rows: rows.where(~late), "late": lambda rows: rows.where(late)})(batch, batch_id)
+        batch.agg(F.max(ts).alias("top")).write.mode("overwrite").parquet(f"{path}/seen/batch={batch_id}")
+
+    return write

@@ -11,6 +11,7 @@ from millrace.operators.joins import exclude, interval_join, reconcile, window_j
 from millrace.operators.patterns import Pattern, match, match_or_timeout
 from millrace.operators.rolling import count_changelog, latest_rule, peer_count, rolling_extremes
 from millrace.operators.routing import side_output, tag_rows, union_all
+from millrace.operators.topn import hot_in_windows
 from millrace.operators.windows import count_slide, count_tumble, sessions, slide_count, tumble
 from millrace.sinks.documents import write_delimited
 from millrace.sources.text import words
@@ -286,3 +287,22 @@ def test_delimited_file(spark, sensor, tmp_path):
     write_delimited(sensor.where("id = 'sensor_1'").select("id", F.col("s") + T0, "vc").coalesce(1), str(tmp_path / "out"))
     lines = rows(spark.read.text(str(tmp_path / "out")))
     assert lines == [(f"sensor_1|{T0 + 122 + i}|{10 * (i + 1)}",) for i in range(4)]
+
+
+@pytest.mark.parametrize("n", [1, 3, 50])
+def test_pruned_top_n_equals_ranking_every_window(spark, n):
+    """Dense counts: 40 keys over two hours, one of them with a third of all rows."""
+    data = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.pmod(F.xxhash64("id"), F.lit(40))).alias("k"),
+        from_micros(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(7_200_000_000))).alias("ts"),
+    )
+    args = (data, "ts", "10 minutes", "5 seconds", ["k"], n)
+    pruned, plain = hot_in_windows(*args, max_copies=1), hot_in_windows(*args, max_copies=10_000)
+    assert pruned.exceptAll(plain).count() == plain.exceptAll(pruned).count() == 0
+
+
+def test_small_slides_of_the_click_job(spark):
+    """One-hour windows every five seconds: a click counts in 720 of them."""
+    clicks = feed(spark, [("beijing", 0), ("beijing", 10), ("jiangsu", 10)], "province string")
+    out = hot_in_windows(clicks, "ts", "1 hour", "5 seconds", ["province"], 1)
+    assert rows(out.groupBy("province", "n").count()) == [("beijing", 1, 4), ("beijing", 2, 718)]

@@ -13,6 +13,8 @@ import __spark_entry__ as entry_point
 from millrace.queries import streams
 from millrace.sources.external import register_view
 from millrace.sources.tables import table
+from millrace.operators.windows import tumble_processing_time
+from millrace.streaming.jobs import late_batches, rule_batches
 from millrace.streaming.replay import drain
 
 PARTS = 4
@@ -79,3 +81,33 @@ def test_view_over_a_stream(spark, pieces):
     folder, _ = pieces
     view = register_view(streams.feed(spark, folder), "live", "user_id AS id", "ts AS rt")
     assert view.isStreaming and view.columns == ["id", "rt"]
+
+
+def test_late_rows_go_to_their_own_output(spark, tmp_path):
+    """Batch 1 closes the window of second 3, so that row is late in batch 2; second 8 is still accepted."""
+    seconds = lambda *values: spark.createDataFrame([(v,) for v in values], "s long").select(
+        "s", F.timestamp_seconds("s").alias("ts")
+    )
+    write = late_batches(str(tmp_path), "ts", "5 seconds", "3 seconds", "2 seconds")
+    write(seconds(1, 12), 0)
+    write(seconds(3, 8, 13), 1)
+    write(seconds(8, 20), 2)
+    write(seconds(8, 21), 3)
+    got = {name: sorted(r.s for r in spark.read.parquet(str(tmp_path / name)).collect()) for name in ("main", "late")}
+    assert got == {"main": [1, 8, 8, 12, 13, 20, 21], "late": [3, 8]}
+
+
+def test_processing_time_windows(spark):
+    out = tumble_processing_time(spark.range(10), "1 day", [], F.count("*").alias("n"))
+    assert out.agg(F.sum("n")).first()[0] == 10
+
+
+def test_rules_are_read_for_every_batch(spark, tmp_path):
+    switch = {"now": "off"}
+    rules = lambda: spark.createDataFrame([(1, switch["now"])], "k long, switch string")
+    write = rule_batches(str(tmp_path / "out"), rules, ["k"])
+    write(spark.createDataFrame([(1, "a")], "k long, x string"), 0)
+    switch["now"] = "on"
+    write(spark.createDataFrame([(1, "b"), (2, "c")], "k long, x string"), 1)
+    rows = spark.read.parquet(str(tmp_path / "out")).select("x", "switch").collect()
+    assert {tuple(r) for r in rows} == {("a", "off"), ("b", "on"), ("c", None)}
