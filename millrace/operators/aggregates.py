@@ -7,14 +7,16 @@ and only states are shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+MAX_BATCH_ROWS = 200_000
+MAX_HELD_KEYS = 100_000
+
 
 @dataclass(frozen=True)
 class Aggregate:
@@ -45,10 +47,10 @@ def aggregate_with(df: DataFrame, keys: list[str], agg: Aggregate, columns: list
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[tuple, tuple] = {}
-        for batch in batches:
+        for batch in _larger(batches):
             for key, rows in batch.groupby(keys, sort=False, dropna=False):
                 held[key] = agg.add(held.get(key) or agg.create(), rows)
-            if len(held) > 100_000:
+            if len(held) > MAX_HELD_KEYS:
                 yield _frame(held, keys, state_names)
                 held = {}
         if held:
@@ -77,5 +79,18 @@ def aggregate_with(df: DataFrame, keys: list[str], agg: Aggregate, columns: list
     return together.mapInPandas(final, f"{key_ddl}, {agg.result_schema}")
 
 
+def _larger(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Join Arrow batches up to a fixed size, so that a key is visited less often."""
+    waiting, rows = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        rows += len(batch)
+        if rows >= MAX_BATCH_ROWS:
+            yield pd.concat(waiting, ignore_index=True)
+            waiting, rows = [], 0
+    if waiting:
+        yield pd.concat(waiting, ignore_index=True)
+
+
 def _frame(held: dict[tuple, tuple], keys: list[str], names: list[str]) -> pd.DataFrame:
     return pd.DataFrame([(*k, *v) for k, v in held.items()], columns=[*keys, *names])

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from millrace.functions.times import interval
 from millrace.plans.chunks import CHUNK, Layout, layout, run_count, run_last
 from millrace.plans.skew import small
-from millrace.plans.staging import checkpointed
+from millrace.plans.staging import staged
 
 FOLD_LIMIT = 2_000
 
@@ -34,7 +34,7 @@ def span_starts(df: DataFrame, plan: Layout, reach: str, fold_limit: int = FOLD_
     if plan.rows <= fold_limit:
         starts = _fold(instants, reach)
     else:
-        instants = checkpointed(instants)
+        instants = staged(instants, "instants")
         long = instants.groupBy("_g").count().where(F.col("count") > fold_limit).select("_g")
         if long.limit(1).count() == 0:
             starts = _fold(instants, reach)
@@ -61,15 +61,14 @@ def _fold(instants: DataFrame, reach: str) -> DataFrame:
 
 def _double(instants: DataFrame, reach: str) -> DataFrame:
     """Sessions of any size."""
-    jump = checkpointed(_next_opening(instants, reach))
-    marks = checkpointed(instants.groupBy("_g").agg(F.min("_at").alias("_at")))
+    jump = staged(_next_opening(instants, reach), "jump")
+    marks = staged(instants.groupBy("_g").agg(F.min("_at").alias("_at")), "marks")
     while jump.limit(1).count():
         reached = marks.join(jump, ["_g", "_at"]).select("_g", F.col("_to").alias("_at"))
-        marks = checkpointed(marks.unionByName(reached).distinct())
+        marks = staged(marks.unionByName(reached).distinct(), "marks")
         onward = jump.select("_g", F.col("_at").alias("_to"), F.col("_to").alias("_next"))
-        jump = checkpointed(
-            jump.join(onward, ["_g", "_to"]).select("_g", "_at", F.col("_next").alias("_to"))
-        )
+        twice = jump.join(onward, ["_g", "_to"]).select("_g", "_at", F.col("_next").alias("_to"))
+        jump = staged(twice, "jump")
     return marks.select("_g", F.col("_at").alias("start"))
 
 

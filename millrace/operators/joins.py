@@ -19,34 +19,25 @@ def window_join(
     return salted_join(a, b, [*keys, "window_start"])
 
 
-def interval_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    left_ts: str,
-    right_ts: str,
-    before: str,
-    after: str,
-    strict: bool = False,
-) -> DataFrame:
-    """Rows with the same keys and `right_ts` in [left_ts - before, left_ts + after].
-
-    Time is cut into buckets as wide as the interval.  A right row lies in one bucket, a left row is sent
-    to the two its interval can touch, so the range predicate becomes an equi-join on (key, bucket).
-    `strict` keeps only right rows after the left one, up to but not at the far end.
-    """
-    low, high = span_us(before), span_us(after)
+def _in_buckets(
+    left: DataFrame, right: DataFrame, left_ts: str, right_ts: str, low: int, high: int
+) -> tuple[DataFrame, DataFrame]:
+    """Cut time into buckets as wide as the interval [-low, +high] around a left row.  A right row lies in one
+    bucket and a left row is sent to the two its interval can touch, so that a range predicate becomes an
+    equi-join on the bucket, in which each pair meets once."""
     width = max(low + high, 1)
     us = to_micros(left_ts)
     bucket_of = lambda at: (at - F.pmod(at, F.lit(width))).cast("long")
     reach = F.sequence(bucket_of(us - low), bucket_of(us + high), F.lit(width).cast("long"))
-    a = left.withColumn("_bucket", F.explode(reach))
-    b = right.withColumn("_bucket", bucket_of(to_micros(right_ts)))
-    l, r = F.col(left_ts), F.col(right_ts)
-    if strict:
-        near = (r > l) & (r < l + interval(after))
-    else:
-        near = (r >= l - interval(before)) & (r <= l + interval(after))
+    return left.withColumn("_bucket", F.explode(reach)), right.withColumn("_bucket", bucket_of(to_micros(right_ts)))
+
+
+def interval_join(
+    left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, before: str, after: str
+) -> DataFrame:
+    """Rows with the same keys and `right_ts` in [left_ts - before, left_ts + after]; batch."""
+    a, b = _in_buckets(left, right, left_ts, right_ts, span_us(before), span_us(after))
+    near = F.col(right_ts).between(F.col(left_ts) - interval(before), F.col(left_ts) + interval(after))
     return salted_join(a, b, [*keys, "_bucket"], where=near).drop("_bucket")
 
 
@@ -54,13 +45,20 @@ def interval_join_stream(
     left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, before: str, after: str,
     how: str = "inner",
 ) -> DataFrame:
-    """The same on two watermarked streams; the range bounds the join state on both sides."""
-    near = F.col(right_ts).between(F.col(left_ts) - interval(before), F.col(left_ts) + interval(after))
-    match = near
-    for k in keys:
+    """The same on two watermarked streams; the range bounds the join state on both sides.
+
+    An inner join runs on time buckets too, which spreads the state of a hot key over all partitions.  An
+    outer join cannot: a left row would look unmatched in one of its two buckets.
+    """
+    on = list(keys)
+    if how == "inner":
+        left, right = _in_buckets(left, right, left_ts, right_ts, span_us(before), span_us(after))
+        on.append("_bucket")
+    match = F.col(right_ts).between(F.col(left_ts) - interval(before), F.col(left_ts) + interval(after))
+    for k in on:
         right = right.withColumnRenamed(k, f"_r_{k}")
         match = match & (F.col(k) == F.col(f"_r_{k}"))
-    return left.join(right, match, how).drop(*[f"_r_{k}" for k in keys])
+    return left.join(right, match, how).drop("_bucket", *[f"_r_{k}" for k in on])
 
 
 def reconcile(

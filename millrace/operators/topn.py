@@ -11,7 +11,7 @@ from millrace.functions.times import from_micros, span_us
 from millrace.operators.windows import pane_counts, slide_count
 from millrace.plans.chunks import layout, run_sum
 from millrace.plans.skew import salted_join
-from millrace.plans.staging import checkpointed
+from millrace.plans.staging import staged
 
 # Up to so many windows per row, copying pane counts into each window is the cheapest plan.
 MAX_COPIES = 24
@@ -42,7 +42,7 @@ def slide_stretches(df: DataFrame, ts: str, size: str, slide_by: str, keys: list
     are at most two stretches per pane, however many windows a pane is in.
     """
     width, step = span_us(size), span_us(slide_by)
-    panes = checkpointed(pane_counts(df, ts, size, slide_by, keys))
+    panes = staged(pane_counts(df, ts, size, slide_by, keys), "panes")
     on_grid = lambda at: at - F.pmod(at, F.lit(step))
     change = lambda at, n: F.struct(at.alias("_from"), n.alias("_change"))
     pane = F.col("_pane")
@@ -71,14 +71,13 @@ def _contenders(df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str
     begin, end = F.greatest("_from", "_cell"), F.least(F.col("_to"), F.col("_cell") + cell_us)
     pieces = stretches.withColumn("_cell", F.explode(touched))
     # The pieces of a key in a cell are at most as many as the cell has windows.
-    cells = checkpointed(
-        pieces.groupBy("_cell", *keys).agg(
-            F.sum(end - begin).alias("_covered"),
-            F.min("n").alias("_low"),
-            F.max("n").alias("_high"),
-            F.collect_list(F.struct(begin.alias("_from"), end.alias("_to"), "n")).alias("_pieces"),
-        )
+    cells = pieces.groupBy("_cell", *keys).agg(
+        F.sum(end - begin).alias("_covered"),
+        F.min("n").alias("_low"),
+        F.max("n").alias("_high"),
+        F.collect_list(F.struct(begin.alias("_from"), end.alias("_to"), "n")).alias("_pieces"),
     )
+    cells = staged(cells, "cells")
     throughout = cells.where(F.col("_covered") == cell_us).select("_cell", "_low", *keys)
     best = top_n(throughout, ["_cell"], [F.col("_low").desc(), *[F.col(k).asc() for k in keys]], n)
     bar = best.where(F.col("rk") == n).select(

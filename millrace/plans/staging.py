@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
 
@@ -30,9 +30,9 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Cut the lineage of `df` through reliable storage in the shared folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_root(spark))
-    return df.checkpoint()
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` to the shared folder and read it back: later plans start from the table, compute nothing
+    twice, know its size, and do not depend on executors that are gone."""
+    path = fresh_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,6 +18,7 @@ RUNTIME_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.multipleWatermarkPolicy": "min",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 # Settings that only count when the session starts.
@@ -41,6 +42,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that somebody else started."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    context, partitions = spark.sparkContext, "spark.sql.shuffle.partitions"
+    untouched = spark.conf.get(partitions) == "200" and partitions not in dict(context.getConf().getAll())
+    if context.master.startswith("local") and untouched:
+        # The built-in 200 is for clusters; on one machine it means 200 state stores per stateful operator.
+        spark.conf.set(partitions, str(context.defaultParallelism))
     # Functions sent to Python workers travel by value, so executors need no installed package.
     cloudpickle.register_pickle_by_value(sys.modules["millrace"])
     return spark
