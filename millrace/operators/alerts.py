@@ -24,11 +24,14 @@ def rise_alerts(
     rows = plan.neighbour(plan.assign(df.select(*keys, *order, value)), "_before", [value])
     rises = F.col(value) > F.coalesce(F.col(f"_before.{value}"), F.lit(floor))
     rows = rows.withColumn("_rises", rises)
-    rows = plan.running(rows, _run=run_count(~F.col("_rises")))
-    rows = plan.running(rows, reverse=True, _broken_at=run_last(F.when(~F.col("_rises"), F.col(ts)), strict=True))
+    # Rows of one rise have the same number of breaks ahead of them, the next one at `_broken_at`.
+    breaks = ~F.col("_rises")
+    rows = plan.running(
+        rows, reverse=True, _run=run_count(breaks), _broken_at=run_last(F.when(breaks, F.col(ts)), strict=True)
+    )
     group = [*keys, "_run", "_broken_at"]
     rising = rows.where("_rises").select(*group, *order, CHUNK)
-    starts = span_starts(rising, plan.refine(group), hold)
+    starts = span_starts(plan.settle(rising), plan.refine(group), hold)
     deadline = F.col("start") + interval(hold)
     fires = F.col("_broken_at").isNull() | (F.col("_broken_at") > deadline)
     return starts.where(fires).select(*keys, F.col("start").alias("rise_start"), deadline.alias("alert_ts"))
@@ -42,10 +45,10 @@ def login_risk(
     plan = layout(df, keys, order)
     rows = plan.assign(df.select(*keys, *order, failed.alias("_bad"), succeeded.alias("_good")))
     rows = rows.where("_bad or _good")
-    rows = plan.running(rows, _part=run_count(F.col("_good")))
-    rows = plan.running(rows, reverse=True, _good_at=run_last(F.when(F.col("_good"), F.col(ts)), strict=True))
+    good = F.col("_good")
+    rows = plan.running(rows, reverse=True, _part=run_count(good), _good_at=run_last(F.when(good, F.col(ts)), strict=True))
     group = [*keys, "_part", "_good_at"]
-    fails = rows.where("_bad").select(*group, *order, CHUNK)
+    fails = plan.settle(rows.where("_bad").select(*group, *order, CHUNK))
     runs = plan.refine(group)
     starts = span_starts(fails, runs, reach)
     # Put the starts into the order of the failures and hand each failure the latest start.

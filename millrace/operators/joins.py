@@ -61,6 +61,14 @@ def interval_join_stream(
     return left.join(right, match, how).drop("_bucket", *[f"_r_{k}" for k in on])
 
 
+def right_join(left: DataFrame, right: DataFrame, on: list[str], left_by: list[str], right_by: list[str]) -> DataFrame:
+    """Right outer join whose left side may have hot keys: a hot key of the side that is not kept cannot be
+    split in an outer join, so the matches come from a salted inner join and the rest from an anti join."""
+    matched = salted_join(left, right, on, left_by=left_by, right_by=right_by)
+    alone = right.join(left.select(*on).distinct(), on, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def reconcile(
     left: DataFrame, right: DataFrame, key: str, left_order: list[str], right_order: list[str]
 ) -> DataFrame:

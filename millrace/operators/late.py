@@ -44,10 +44,11 @@ def lateness_firings(
 ) -> DataFrame:
     """All results of a window with allowed lateness: the on-time one (`firing` 0) and one per late row."""
     group = [*keys, "window_start", "window_end"]
-    kept = late_rows(df, ts, arrival, size, delay, lateness).where(F.col("status") != "dropped")
     start = window_start(ts, size)
     windows = df.withColumns({"window_start": start, "window_end": start + interval(size)})
     plan = layout(windows, group, arrival)
+    marked = late_rows(df, ts, arrival, size, delay, lateness).select(*group, *arrival, "status")
+    kept = plan.settle(marked.where(F.col("status") != "dropped"))
     rows = plan.running(kept, n=run_count(), firing=run_count(F.col("status") == "late"))
     late = rows.where(F.col("status") == "late").select(*group, "firing", "n")
     on_time = kept.where(F.col("status") == "on_time").groupBy(*group).agg(F.count("*").alias("n"))

@@ -117,6 +117,7 @@ def _match_variant(df, steps: list[Step], limit: str | None, plan: Layout, colum
         if found is None:
             found = part
         else:
+            found, part = plan.settle(found), plan.settle(part)
             # The later half starts after the earlier one ends, and within the limit of it.
             near = interval_join(found, part, plan.keys, f"{previous}_{ts}", f"{first}_{ts}", "0 seconds", limit)
             found = near.where(_position(plan, first) > _position(plan, previous))
@@ -150,7 +151,9 @@ def _chain(df: DataFrame, steps: list[Step], plan: Layout, columns: list[str]) -
                 rows = plan.running(rows, reverse=True, _rest=run_last(fits, strict=True))
             after = F.col(f"_rest.{rest}")
             found = F.when(after.isNotNull(), F.struct(own.alias("at"), after.alias("rest")))
-        rows = rows.withColumn(f"_m{i}", F.when(F.col(f"_is{i}"), found)).drop("_rest")
+        rows = rows.withColumn(f"_m{i}", F.when(F.col(f"_is{i}"), found)).drop("_rest", f"_m{i + 1}")
+        if 0 < i < len(steps) - 1 and i % 2 == 0:
+            rows = plan.settle(rows)
     out = [F.col(c).alias(f"{steps[0].name}_{c}") for c in carried]
     path = "_m0"
     for step in steps[1:]:

@@ -33,7 +33,7 @@ def running_count(df: DataFrame, keys: list[str], order: list[str], out: str = "
 def running_distinct(df: DataFrame, item: str, order: list[str], out: str = "n") -> DataFrame:
     """Distinct items seen so far, after each row: count the rows that are the first of their item."""
     per_item, overall = layout(df, [item], order), layout(df, [], order)
-    seen = per_item.running(df, _nth=run_count())
+    seen = per_item.settle(per_item.running(df, _nth=run_count()))
     return overall.running(seen, **{out: run_count(F.col("_nth") == 1)}).drop("_nth")
 
 
@@ -46,7 +46,7 @@ def peer_count(df: DataFrame, keys: list[str], order: list[str], out: str) -> Da
     plan = layout(df, keys, order)
     ts = order[0]
     rows = plan.running(plan.assign(df), _nth=run_count())
-    rows = plan.neighbour(rows, "_after", [ts], ahead=True)
+    rows = plan.settle(plan.neighbour(rows, "_after", [ts], ahead=True))
     last_peer = F.col("_after").isNull() | (F.col(f"_after.{ts}") != F.col(ts))
     rows = plan.running(rows, reverse=True, **{out: run_last(F.when(last_peer, F.col("_nth")))})
     return rows.select(*df.columns, out)

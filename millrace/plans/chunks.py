@@ -24,6 +24,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.plans.staging import staged
+
 CHUNK = "_chunk"
 CHUNK_ROWS_CONF = "millrace.chunkRows"
 DEFAULT_CHUNK_ROWS = 2_000_000
@@ -125,6 +127,14 @@ class Layout:
             .drop(_SPLITS, _ALL, *[f"_s_{k}" for k in names])
         )
 
+    def settle(self, df: DataFrame) -> DataFrame:
+        """Write rows that several later steps build on, if there are chunks.
+
+        Each running step on split keys reads its input twice, for the rows and for the summaries, so a
+        chain of steps would compute its beginning over and over.
+        """
+        return df if self.splits is None else staged(df, "rows")
+
     # -- windows ---------------------------------------------------------------------------------
 
     def _sorted(self, reverse: bool) -> list[Column]:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from millrace.operators.joins import exclude, interval_join, reconcile, window_join
+from millrace.operators.joins import exclude, interval_join, reconcile, right_join, window_join
 from millrace.operators.routing import connect, union_all
 from millrace.queries.registry import events, query
 from millrace.sources.external import register_view
@@ -104,11 +104,20 @@ def reconcile_unmatched(spark, folder):
     return pairs(spark, folder).where(F.col("side") != "matched")
 
 
-@query(
-    "sql_right_join",
+SQL_RIGHT_JOIN = (
     "select c.c_custkey as id, e.event_id from (select * from events where event_type = 'purchase') e "
-    "right join customer c on e.user_id = c.c_custkey",
+    "right join customer c on e.user_id = c.c_custkey"
 )
+
+
+@query("right_join", SQL_RIGHT_JOIN)
+def right_join_query(spark, folder):
+    bought = events(spark, folder, "purchase").select(F.col("user_id").alias("id"), "event_id")
+    buyers = table(spark, folder, "customer").select(F.col("c_custkey").alias("id"))
+    return right_join(bought, buyers, ["id"], ["event_id"], ["id"])
+
+
+@query("sql_right_join", SQL_RIGHT_JOIN)
 def sql_right_join(spark, folder):
     register_view(events(spark, folder, "purchase"), "bought", "user_id", "event_id")
     register_view(table(spark, folder, "customer"), "buyers", "c_custkey AS id")
