@@ -229,7 +229,8 @@ def layout(
         .groupBy(*names)
         .agg(F.array_sort(F.collect_list(_point(order))).alias(_SPLITS))
     )
-    return Layout(keys, order, splits, rows)
+    # Written once, as every step and its summaries look the split points up.
+    return Layout(keys, order, staged(splits, "splits"), rows)
 
 
 def _point(order: list[str]) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.plans.chunks import default_chunk_rows
+from millrace.plans.staging import staged
 
 MAX_HOT_KEYS = 100_000
 MAX_BROADCAST_ROWS = 100_000
@@ -51,6 +52,9 @@ def salted_join(
         F.coalesce("_ls", F.lit(1)).alias("_ls"),
         (F.coalesce("_rs", F.lit(1)) if how == "inner" else F.lit(1)).alias("_rs"),
     )
+    hot = staged(hot, "hot")
+    if hot.limit(1).count() == 0:
+        return _join(left, right, on, how, where)
 
     def cut(df: DataFrame, by: list[str] | None, mine: str, other: str, mine_at: str, other_at: str):
         marked = df.join(F.broadcast(hot), on, "left")
