@@ -18,6 +18,7 @@ fits in one chunk skips all of this and runs the plain window.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -31,6 +32,7 @@ CHUNK_ROWS_CONF = "millrace.chunkRows"
 DEFAULT_CHUNK_ROWS = 2_000_000
 MAX_SPLITS = 1 << 17
 _SPLITS = "_splits"
+_AXIS = "_axis"
 _ALL = "_all"
 _COLD = -1
 
@@ -98,18 +100,19 @@ def default_chunk_rows(df: DataFrame) -> int:
 class Layout:
     """Order of rows per key, plus the split points of keys too large for one task."""
 
-    def __init__(self, keys: list[str], order: list[str], splits: DataFrame | None, rows: int):
+    def __init__(self, keys: list[str], order: list[str], splits: DataFrame | None, rows: int, steps: int = 0):
         self.keys = keys
         self.order = order
         self.splits = splits
         self.rows = rows
+        self.steps = steps
 
     def refine(self, group: list[str]) -> Layout:
         """The same chunks for a finer grouping whose groups are unbroken runs of a key's order.
 
         Use it on rows that this layout has assigned: it saves planning anew, and no shuffle is added.
         """
-        return Layout(group, self.order, self.splits, self.rows)
+        return Layout(group, self.order, self.splits, self.rows, self.steps)
 
     # -- chunk numbers ---------------------------------------------------------------------------
 
@@ -119,12 +122,18 @@ class Layout:
             return df.withColumn(CHUNK, F.lit(_COLD))
         names = self.keys or [_ALL]
         left = df if self.keys else df.withColumn(_ALL, F.lit(0))
-        right = self.splits.select(*[F.col(k).alias(f"_s_{k}") for k in names], _SPLITS)
+        right = self.splits.select(*[F.col(k).alias(f"_s_{k}") for k in names], _SPLITS, _AXIS)
         joined = left.join(F.broadcast(right), _null_safe(names, "_s_"), "left")
-        place = _count_not_after(F.col(_SPLITS), _point(self.order))
+        # Search the plain first order column; full positions matter only next to a split point's own value.
+        first, axis, before = F.col(self.order[0]), F.col(_AXIS), F.col("_before_axis")
+        joined = joined.withColumn(
+            "_before_axis", F.when(axis.isNotNull(), _search(axis, lambda at: at < first, self.steps))
+        )
+        exact = _search(F.col(_SPLITS), lambda at: at <= _point(self.order), self.steps)
+        place = F.when(F.get(axis, before) == first, exact).otherwise(before)
         return (
-            joined.withColumn(CHUNK, F.when(F.col(_SPLITS).isNull(), F.lit(_COLD)).otherwise(place))
-            .drop(_SPLITS, _ALL, *[f"_s_{k}" for k in names])
+            joined.withColumn(CHUNK, F.coalesce(place, F.lit(_COLD)))
+            .drop(_SPLITS, _AXIS, "_before_axis", _ALL, *[f"_s_{k}" for k in names])
         )
 
     def settle(self, df: DataFrame) -> DataFrame:
@@ -229,8 +238,13 @@ def layout(
         .groupBy(*names)
         .agg(F.array_sort(F.collect_list(_point(order))).alias(_SPLITS))
     )
+    axis = F.transform(_SPLITS, lambda at: at["o0"]).alias(_AXIS)
     # Written once, as every step and its summaries look the split points up.
-    return Layout(keys, order, staged(splits, "splits"), rows)
+    splits = staged(splits.select(*names, _SPLITS, axis), "splits")
+    longest = splits.agg(F.max(F.size(_SPLITS))).first()[0]
+    if not longest:
+        return Layout(keys, order, None, rows)
+    return Layout(keys, order, splits, rows, longest.bit_length())
 
 
 def _point(order: list[str]) -> Column:
@@ -243,11 +257,11 @@ def _null_safe(names: list[str], prefix: str) -> Column:
     )
 
 
-def _count_not_after(splits: Column, point: Column) -> Column:
-    """Number of sorted split points <= `point`, by halving steps rather than a linear search."""
-    steps = F.array(*[F.lit(1 << b) for b in range(MAX_SPLITS.bit_length(), -1, -1)])
+def _search(splits: Column, passes: Callable[[Column], Column], steps: int) -> Column:
+    """How many leading elements of a sorted array pass, found by halving steps."""
+    sizes = F.array(*[F.lit(1 << b) for b in range(steps - 1, -1, -1)])
     return F.aggregate(
-        steps,
+        sizes,
         F.lit(0),
-        lambda at, step: F.when(F.get(splits, at + step - 1) <= point, at + step).otherwise(at),
+        lambda at, step: F.when(passes(F.get(splits, at + step - 1)), at + step).otherwise(at),
     )
