@@ -69,7 +69,9 @@ def _contenders(df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str
     stretches = slide_stretches(df, ts, size, slide_by, keys)
     touched = F.sequence(cell_of(F.col("_from")), cell_of(F.col("_to") - step), F.lit(cell_us).cast("long"))
     begin, end = F.greatest("_from", "_cell"), F.least(F.col("_to"), F.col("_cell") + cell_us)
-    pieces = stretches.withColumn("_cell", F.explode(touched))
+    # A fixed number of partitions, which are not merged for being small: each row will become many windows.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = stretches.withColumn("_cell", F.explode(touched)).repartition(partitions, "_cell", *keys)
     # The pieces of a key in a cell are at most as many as the cell has windows.
     cells = pieces.groupBy("_cell", *keys).agg(
         F.sum(end - begin).alias("_covered"),
