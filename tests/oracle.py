@@ -28,14 +28,10 @@ def normal(frame: pd.DataFrame) -> pd.DataFrame:
     return text.sort_values(list(text.columns)).reset_index(drop=True)
 
 
-KIND = {
-    "int64": "int", "Int64": "int", "int32": "int", "Int32": "int", "float64": "num", "bool": "bool",
-    "object": "obj", "str": "obj", "string": "obj",
-}
-
-
 def compare(spark_df, con, sql) -> str | None:
-    want = con.sql(sql).arrow().read_all().to_pandas(integer_object_nulls=True) if hasattr(con.sql(sql).arrow(), "read_all") else con.sql(sql).arrow().to_pandas(integer_object_nulls=True)
+    result = con.sql(sql).arrow()
+    result = result.read_all() if hasattr(result, "read_all") else result
+    want = result.to_pandas(integer_object_nulls=True)
     got = spark_df.toArrow().to_pandas(integer_object_nulls=True)
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
