@@ -5,9 +5,10 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry_point
+from millrace.queries import ORACLES, QUERIES
 
-BATCH = [n for n in entry_point.queries() if n.split("_")[0] not in ("stream", "wm") or n == "wm_per_record_trace"]
-STREAMS = [n for n in entry_point.queries() if n not in BATCH]
+BATCH = [n for n in QUERIES if n.split("_")[0] not in ("stream", "wm") or n == "wm_per_record_trace"]
+STREAMS = [n for n in QUERIES if n not in BATCH]
 
 
 @pytest.fixture(scope="module")
@@ -16,12 +17,13 @@ def con():
 
 
 def check(spark, con, name):
-    problem = oracle.compare(entry_point.queries()[name](spark, SF_SMALL), con, entry_point.oracle_sql()[name])
+    problem = oracle.compare(QUERIES[name](spark, SF_SMALL), con, ORACLES[name])
     assert problem is None, problem
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_point.queries())
 
 
 def test_entry(spark):
