@@ -38,6 +38,14 @@ def finish(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that `finish` wrote, once nothing will read it again."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def worker_memo(name: str, make: Callable[[], object]):
     """A value that one Python worker makes once and keeps for its later tasks."""
     module = sys.modules.setdefault("_millrace_worker", types.ModuleType("_millrace_worker"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import finish, raw, settle
+from millrace.llm.common import discard, finish, raw, settle
 from millrace.llm.wordhash import mix, odd, powers, slices, windows, word_hashes
 
 SIZE = 13
@@ -212,28 +212,34 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, texts: bool = False) -> Da
     """
     settle(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    facts = finish(_facts(rows, size), "facts")
+    parsed = finish(_facts(rows, size), "parsed")
+    facts = finish(parsed.drop("anchors"), "facts")
     copy = F.conv(F.substring("sha", 1, 15), 16, 10).cast("long").alias("copy")
     # Anchors in texts with different words; the aggregate is partial first, so a very common anchor is cheap.
-    seen = facts.select(copy, F.explode("anchors").alias("anchor"))
+    seen = parsed.select(copy, F.explode("anchors").alias("anchor"))
     common = seen.groupBy("anchor").agg(F.min("copy").alias("a"), F.max("copy").alias("b")).where("a < b")
     common = finish(common.select("anchor"), "anchors")
-    hits = seen.join(common, "anchor").groupBy("copy").agg(F.collect_set("anchor").alias("anchors"))
+    hits = finish(seen.join(common, "anchor").groupBy("copy").agg(F.collect_set("anchor").alias("anchors")), "hits")
+    discard(parsed)
+    discard(common)
     firsts = facts.where("doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("first"))
     firsts = finish(firsts, "firsts")
-    hits = finish(hits.join(firsts.select(copy, "sha", "first"), "copy").drop("copy"), "hits")
+    hits = hits.join(firsts.select(copy, "sha", "first"), "copy").drop("copy")
     # Texts that share an anchor move once and are kept beside their anchors.
     affected = rows.join(hits.select(F.col("first").alias("doc_id"), "sha", "anchors"), "doc_id")
     affected = affected.where(F.col("text").isNotNull()).select("doc_id", "sha", copy, "anchors", "text")
     affected = finish(_own(affected), "affected")
-    at = finish(_windows(affected, size), "windows")
+    # Hashed twice rather than stored: the hashes take more room than the texts.
+    at = _windows(affected, size)
     origin = at.groupBy("h", "g").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
-    late = at.join(origin.drop("most"), ["h", "g"]).where("doc_id > least")
-    places = late.groupBy("doc_id", "copy").agg(F.collect_list("at").alias("places"))
+    origin = finish(origin.drop("most"), "origins")
+    late = at.join(origin, ["h", "g"]).where("doc_id > least")
+    places = finish(late.groupBy("doc_id", "copy").agg(F.collect_list("at").alias("places")), "places")
+    discard(origin)
     cut = affected.select("doc_id", "sha", "copy", "text").join(places, ["doc_id", "copy"])
     cut = _cut(cut.select("doc_id", "sha", "places", "text"), size, texts).dropDuplicates(["doc_id", "sha"])
     cut = finish(cut, "cut")
-    out = facts.drop("anchors").join(firsts, "sha", "left").join(cut, ["doc_id", "sha"], "left")
+    out = facts.join(firsts, "sha", "left").join(cut, ["doc_id", "sha"], "left")
     is_copy = (F.col("doc_id") > F.col("first")) & (F.col("n_words") >= size)
     nothing = F.sha2(F.lit(""), 256)
     columns = [
