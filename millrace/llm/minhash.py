@@ -8,11 +8,13 @@
    4.5 standard errors below the threshold are passed over.
 4. The pairs that are left are confirmed on the full shingle sets, and links are joined to components.
 
-A bucket never writes out all its pairs.  First each class is confirmed against the one bucket leader that looks most
-like it, which joins nearly all copies of a text.  Then only classes outside their bucket's largest component are
-compared with the bucket, in slices, and of these pairs only those of different components with a sufficient estimate
-are confirmed: the best pair of every two components first, then whatever still lies between two components.  So no
-link between two components is lost, and links inside one are not needed.
+No step writes out the pairs of a group.  First each class is confirmed against the one bucket leader that looks most
+like it, which joins most copies of a text.  Then, in buckets that still hold several components, the classes outside
+the largest one are compared with the bucket in blocks of bounded size.  A block gives a spanning forest of the pairs
+with a sufficient estimate, at most a row per class; the forests join classes to clusters, and every such pair lies
+inside one cluster.  Last, clusters are walked in blocks again, now with the full sets: a pair is confirmed unless the
+links found so far already connect it, and only links that connect something new are written.  So no link between
+different components is lost, links inside one are not needed, and what is written stays in proportion to the classes.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ SHINGLE = 5
 HASHES, BANDS = 192, 32
 BITS = 4
 PER_LONG = 64 // BITS
-SLICE = 1000
+SKETCH_BLOCK, SET_BLOCK = 512, 128
 
 
 def shingle_hashes(texts: list[bytes | None], size: int = SHINGLE):
@@ -160,6 +162,95 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataF
     return rows.join(known, node, "left").withColumn(name, F.coalesce("_label", node)).drop("_label")
 
 
+def _cells(rows: DataFrame, block: int) -> DataFrame:
+    """Deal the rows (group, node, label) of groups with several labels to cells of at most about 2 * `block` nodes.
+
+    Nodes outside the group's largest label ask, all its nodes are asked, and each asking slice meets each asked slice
+    in one cell.  A group of one label has no cell.
+    """
+    counted = rows.groupBy("group", "label").agg(F.count("*").alias("n"))
+    mixed = counted.groupBy("group").agg(
+        F.count("*").alias("labels"), F.sum("n").alias("all"), F.max("n").alias("most"),
+        F.max_by("label", F.struct("n", -F.col("label"))).alias("main"),
+    ).where("labels > 1")
+    mixed = mixed.select(
+        "group", "main", F.ceil((F.col("all") - F.col("most")) / block).cast("int").alias("qs"),
+        F.ceil(F.col("all") / block).cast("int").alias("ms"),
+    )
+    rows = rows.join(mixed, "group")
+    asking = rows.where("label != main").select(
+        "group", "node", "label", "main", F.lit(0).alias("role"), F.pmod(F.xxhash64("node"), "qs").cast("int").alias("q"),
+        F.explode(F.sequence(F.lit(0), F.col("ms") - 1)).alias("m"),
+    )
+    asked = rows.select(
+        "group", "node", "label", "main", F.lit(1).alias("role"), F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("q"),
+        F.pmod(F.xxhash64("node", F.lit(1)), "ms").cast("int").alias("m"),
+    )
+    return asking.unionByName(asked)
+
+
+def _walk(cells: DataFrame, hashes: int, floor: float, percent: int | None = None) -> DataFrame:
+    """A spanning forest (a, b) of each cell over pairs of different labels whose estimate reaches `floor` and, with
+    `percent`, whose full sets are a link."""
+    names = ["node", "label", "main", "role", "sig"] + (["shingles"] if percent else [])
+    dealt = cells.repartition("group", "q", "m").sortWithinPartitions("group", "q", "m", "role", "node")
+    ones = sum(1 << (BITS * i) for i in range(PER_LONG))
+
+    def linked(x: bytes, y: bytes) -> bool:
+        n = (len(x) + len(y)) // 8
+        merged = np.sort(np.concatenate((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))))
+        both = int(np.count_nonzero(merged[1:] == merged[:-1]))
+        return 100 * both >= percent * (n - both)
+
+    def forest(cell: dict) -> list[tuple[int, int]]:
+        node, label, role = (np.array(cell[c], np.int64) for c in ("node", "label", "role"))
+        sig, main = np.array(cell["sig"], np.int64).view(np.uint64), cell["main"][0]
+        asked = np.flatnonzero(role)
+        group = label.copy()  # label of the component as far as this cell has joined it
+        out = []
+        for q in np.flatnonzero(role == 0):
+            at = asked[(group[asked] != group[q]) & ((label[asked] == main) | (node[q] < node[asked]))]
+            x = sig[at] ^ sig[q]
+            spread = x
+            for j in range(1, BITS):
+                spread = spread | (x >> np.uint64(j))
+            equal = hashes - np.bitwise_count(spread & np.uint64(ones)).sum(1, dtype=np.int64)
+            like = (equal / hashes - 2.0**-BITS) / (1 - 2.0**-BITS)
+            order = np.argsort(-like, kind="stable")
+            for m in at[order[: int((like >= floor).sum())]]:
+                if group[m] != group[q] and (not percent or linked(cell["shingles"][q], cell["shingles"][m])):
+                    out.append((int(node[q]), int(node[m])))
+                    group[group == group[m]] = group[q]
+        return out
+
+    def run(batches):
+        key, cell = None, None
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("group", "q", "m"))))
+            columns = {n: batch.column(n).to_pylist() for n in names}
+            links, start = [], 0
+            for i in range(1, len(keys) + 1):
+                if i < len(keys) and keys[i] == keys[start]:
+                    continue
+                if keys[start] != key:
+                    links += forest(cell) if cell else []
+                    key, cell = keys[start], {n: [] for n in names}
+                for n in names:
+                    cell[n] += columns[n][start:i]
+                start = i
+            if links:
+                yield _links(links)
+        if cell and (links := forest(cell)):
+            yield _links(links)
+
+    return dealt.select("group", "q", "m", *names).mapInArrow(run, "a long, b long")
+
+
+def _links(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*links)
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = 85, size: int = SHINGLE, hashes: int = HASHES, bands: int = BANDS
 ) -> DataFrame:
@@ -198,46 +289,20 @@ def near_duplicates(
     links = finish(_confirm(best, sets, percent), "links")
     labels = components(links)
 
-    # Buckets that still hold several components.
+    # Buckets that still hold several components, by signature, to clusters.
     held = _labelled(members.select("bucket", "node"), labels, "node", "label")
-    counted = held.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    mixed = counted.groupBy("bucket").agg(
-        F.count("*").alias("labels"), F.sum("n").alias("n"), F.max("n").alias("most"),
-        F.max_by("label", F.struct("n", -F.col("label"))).alias("main"),
-    ).where("labels > 1")
-    mixed = mixed.select("bucket", "main", F.ceil((F.col("n") - F.col("most")) / SLICE).cast("int").alias("slices"))
-    held = held.join(mixed, "bucket").join(sigs.select("node", "sig"), "node")
-    held = finish(held, "held")
-    asking = held.where("label != main").select(
-        "bucket", F.col("node").alias("a"), F.col("label").alias("label_a"), F.col("sig").alias("sig_a"),
-        F.pmod(F.xxhash64("node"), F.col("slices")).cast("int").alias("slice"),
-    )
-    asked = held.select(
-        "bucket", F.col("node").alias("b"), F.col("label").alias("label_b"), F.col("sig").alias("sig_b"), "main",
-        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
-    )
-    like = similarity(F.col("sig_a"), F.col("sig_b"), hashes)
-    once = (F.col("label_b") == F.col("main")) | (F.col("a") < F.col("b"))
-    met = asking.alias("l").join(
-        asked.alias("r"),
-        (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.slice") == F.col("r.slice"))
-        & (F.col("label_a") != F.col("label_b")) & once & (like >= floor),
-    )
-    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), like.alias("like"))
-    pairs = finish(pairs.groupBy("a", "b").agg(F.first("like").alias("like")), "pairs")
-
-    # The best pair of every two components, then all pairs that still lie between two components.
-    for step in ("best", "rest"):
-        open_pairs = _labelled(_labelled(pairs, labels, "a", "label_a"), labels, "b", "label_b")
-        open_pairs = open_pairs.where("label_a != label_b")
-        if step == "best":
-            two = [F.least("label_a", "label_b").alias("p"), F.greatest("label_a", "label_b").alias("q")]
-            top = open_pairs.groupBy(*two).agg(F.max_by(F.struct("a", "b"), F.struct("like", -F.col("a"), -F.col("b"))).alias("t"))
-            open_pairs = top.select("t.*")
-        found = finish(_confirm(open_pairs.select("a", "b"), sets, percent), "links")
-        if found.limit(1).count():
-            links = links.unionByName(found)
-            labels = components(links)
+    cells = _cells(held.withColumnRenamed("bucket", "group"), SKETCH_BLOCK)
+    near = finish(_walk(cells.join(sigs.select("node", "sig"), "node"), hashes, floor), "near")
+    clusters = components(near.unionByName(links))
+
+    # Clusters that hold several components, by full sets.
+    known = _labelled(clusters.select("node", F.col("label").alias("group")).unionByName(
+        clusters.select(F.col("label").alias("node"), F.col("label").alias("group")).distinct()
+    ), labels, "node", "label")
+    cells = _cells(known, SET_BLOCK).join(sigs.select("node", "sig"), "node").join(sets, "node")
+    found = finish(_walk(cells, hashes, floor, percent), "links")
+    if found.limit(1).count():
+        labels = components(links.unionByName(found))
 
     named = _labelled(classes.select("node", "class"), labels, "node", "component_id").select("class", "component_id")
     rows = signed.select("doc_id", "n_shingles", "class").join(named, "class", "left")
