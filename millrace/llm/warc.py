@@ -196,6 +196,9 @@ def normalise(decided: DataFrame, folder: str) -> DataFrame:
         return pd.DataFrame({"archive": [archive], "records": [len(places)], "bytes": [offset]})
 
     slim = decided.select("file", "seq", F.col("refers_to").cast("string").alias("refers_to"))
+    # The rows are few beside the files they stand for, so the number of tasks follows the files.
+    files = decided.agg(F.approx_count_distinct("file")).first()[0]
+    slim = slim.repartition(max(1, files), "file")
     return slim.groupBy("file").applyInPandas(rewrite, "archive string, records long, bytes long")
 
 
@@ -249,7 +252,7 @@ def archive_pages(spark: SparkSession, pages: DataFrame, folder: str | None = No
     folder = folder or fresh_dir(spark, "warc")
     crawled = f"{folder}/crawl"
     manifest = finish(crawl(pages, crawled), "manifest")
-    archives = finish(normalise(revisits(manifest), crawled), "archives")
+    archives = finish(normalise(finish(revisits(manifest), "revisits"), crawled), "archives")
     target, root = store(crawled)
     if target.get_file_info(root).type != pafs.FileType.NotFound:
         for info in target.get_file_info(pafs.FileSelector(root)):
