@@ -40,11 +40,8 @@ class DigestIndex:
         self.buckets = buckets
         self.path = path or fresh_dir(spark, "digests")
 
-    def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name)
-
     def attach(self) -> DigestIndex:
-        """Name files that an earlier session left in `path` in this session's catalog."""
+        """Make the table, or name files that an earlier session left in `path` in this session's catalog."""
         columns = "text_sha256 string, keep_id bigint, group_size bigint, batch string"
         self.spark.sql(
             f"create table if not exists `{self.name}` ({columns}) using parquet clustered by (text_sha256) "
@@ -62,37 +59,30 @@ class DigestIndex:
         equal text) and `kept`.  Of equal texts in the batch the row with the largest id stays; if the digest was
         in the index before, none does and `keep_id` is the id in the index.  Repeated rows with equal id and text
         are all kept or all dropped (`distinct` them before, if one shall go).  A null id is smaller than all
-        others; a group of null ids only has a null `keep_id` and its rows are kept.  Empty input gives empty output.
+        others; a group of null ids only has a null `keep_id` and its rows are kept (a later batch does not see it as known).  Empty input gives empty output.
         """
         digests = rows.select(F.col(id_column).alias("_id"), digest(F.col(text_column)).alias("text_sha256"))
         # Hashing whole texts is the costly part: done once, 72 bytes a row stay.
         digests = staged(digests, "digests-in")
         batch = digests.groupBy("text_sha256").agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size"))
-        if self.exists():
-            seen = self.read().select("text_sha256", F.col("keep_id").alias("_seen_id"))
-            new = batch.join(seen.hint("merge"), "text_sha256", "left_anti")
-        else:
-            seen, new = None, batch
-        before = staged(seen.join(batch.select("text_sha256"), "text_sha256", "left_semi"), "seen") if seen else None
+        self.attach()
+        known = self.read().select("text_sha256", F.col("keep_id").alias("_seen_id"))
+        # What the index knew of this batch is written before the index grows.
+        seen = staged(known.join(batch.select("text_sha256"), "text_sha256", "left_semi"), "seen")
+        new = batch.hint("merge").join(known.hint("merge"), "text_sha256", "left_anti")
         (
             new.withColumn("batch", F.lit(uuid.uuid4().hex))
             .repartition(self.buckets, "text_sha256")
             .write.format("parquet").bucketBy(self.buckets, "text_sha256").sortBy("text_sha256")
             .option("path", self.path).mode("append").saveAsTable(self.name)
         )
-        # Few texts are very common, so rows of one digest can crowd one task here: the adaptive join splits it.
-        out = digests.join(self.read().select("text_sha256", "keep_id", "group_size"), "text_sha256")
-        if before is not None:
-            out = (
-                digests.join(batch, "text_sha256").join(before, "text_sha256", "left")
-                .withColumn("keep_id", F.when(F.col("_seen_id").isNotNull(), F.col("_seen_id")).otherwise(F.col("keep_id")))
-                .withColumn("_old", F.col("_seen_id").isNotNull())
-            )
-        else:
-            out = out.withColumn("_old", F.lit(False))
+        # One row per digest on the right: the adaptive join splits a digest with very many rows on the left.
+        groups = batch.join(seen, "text_sha256", "left")
+        out = digests.join(groups, "text_sha256")
+        kept = F.col("_seen_id").isNull() & F.col("_id").eqNullSafe(F.col("keep_id"))
         return out.select(
-            F.col("_id").alias(id_column), "keep_id", "group_size",
-            (F.col("_id").eqNullSafe(F.col("keep_id")) & ~F.col("_old")).alias("kept"), "text_sha256",
+            F.col("_id").alias(id_column), F.coalesce("_seen_id", "keep_id").alias("keep_id"), "group_size",
+            kept.alias("kept"), "text_sha256",
         )
 
 
