@@ -2,7 +2,11 @@
 
 The contract is create / add / result / merge on pandas data.  `add` folds one batch of a key's rows into a
 state row, so a key with very many rows is reduced to one state per Arrow batch and key where the rows are,
-and only states are shuffled.
+and only states are shuffled.  It is meant for aggregates that Spark lacks; a plain count or sum should use
+Spark's own.
+
+Columns keep their Arrow types (pandas alone would make a long column with nulls a float one, which merges
+keys beyond 2**53); nulls are a key of their own, as in `groupBy`.
 """
 
 from __future__ import annotations
@@ -11,7 +15,9 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 MAX_BATCH_ROWS = 200_000
@@ -41,56 +47,63 @@ COUNT = Aggregate(
 
 
 def aggregate_with(df: DataFrame, keys: list[str], agg: Aggregate, columns: list[str]) -> DataFrame:
-    key_ddl = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+    key_fields = df.select(*keys).schema.fields
+    partial_schema = StructType([*key_fields, *StructType.fromDDL(agg.state_schema).fields])
+    result_schema = StructType([*key_fields, *StructType.fromDDL(agg.result_schema).fields])
     state_names = StructType.fromDDL(agg.state_schema).names
-    result_names = StructType.fromDDL(agg.result_schema).names
+    partial_arrow, result_arrow = to_arrow_schema(partial_schema), to_arrow_schema(result_schema)
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, tuple] = {}
         for batch in _larger(batches):
-            for key, rows in batch.groupby(keys, sort=False, dropna=False):
+            for key, rows in _groups(batch, keys):
                 held[key] = agg.add(held.get(key) or agg.create(), rows)
             if len(held) > MAX_HELD_KEYS:
-                yield _frame(held, keys, state_names)
+                yield _batch(held, partial_arrow)
                 held = {}
         if held:
-            yield _frame(held, keys, state_names)
+            yield _batch(held, partial_arrow)
 
-    def final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come sorted by key, so only the last key of a batch can go on in the next one.
         open_key, open_state = None, None
         for batch in batches:
             done: dict[tuple, tuple] = {}
-            for key, rows in batch.groupby(keys, sort=False, dropna=False):
-                if open_key is not None and key != open_key:
-                    done[open_key] = agg.result(open_state)
-                    open_state = None
-                state = open_state or agg.create()
-                for row in rows[state_names].itertuples(index=False, name=None):
-                    state = agg.merge(state, row)
-                open_key, open_state = key, state
+            columns = batch.to_pydict()
+            for key, row in zip(zip(*(columns[k] for k in keys)), zip(*(columns[n] for n in state_names)), strict=True):
+                if key != open_key:
+                    if open_key is not None:
+                        done[open_key] = agg.result(open_state)
+                    open_key, open_state = key, agg.create()
+                open_state = agg.merge(open_state, row)
             if done:
-                yield _frame(done, keys, result_names)
+                yield _batch(done, result_arrow)
         if open_key is not None:
-            yield _frame({open_key: agg.result(open_state)}, keys, result_names)
+            yield _batch({open_key: agg.result(open_state)}, result_arrow)
 
-    states = df.select(*keys, *columns).mapInPandas(partial, f"{key_ddl}, {agg.state_schema}")
+    states = df.select(*dict.fromkeys([*keys, *columns])).mapInArrow(partial, partial_schema)
     together = states.repartition(*keys).sortWithinPartitions(*keys)
-    return together.mapInPandas(final, f"{key_ddl}, {agg.result_schema}")
+    return together.mapInArrow(final, result_schema)
+
+
+def _groups(batch: pa.Table, keys: list[str]) -> Iterator[tuple[tuple, pd.DataFrame]]:
+    for key, rows in batch.to_pandas(types_mapper=pd.ArrowDtype).groupby(keys, sort=False, dropna=False):
+        yield tuple(None if v is pd.NA else v for v in key), rows
 
 
-def _larger(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     """Join Arrow batches up to a fixed size, so that a key is visited less often."""
     waiting, rows = [], 0
     for batch in batches:
         waiting.append(batch)
-        rows += len(batch)
+        rows += batch.num_rows
         if rows >= MAX_BATCH_ROWS:
-            yield pd.concat(waiting, ignore_index=True)
+            yield pa.Table.from_batches(waiting)
             waiting, rows = [], 0
     if waiting:
-        yield pd.concat(waiting, ignore_index=True)
+        yield pa.Table.from_batches(waiting)
 
 
-def _frame(held: dict[tuple, tuple], keys: list[str], names: list[str]) -> pd.DataFrame:
-    return pd.DataFrame([(*k, *v) for k, v in held.items()], columns=[*keys, *names])
+def _batch(held: dict[tuple, tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*((*k, *v) for k, v in held.items()))
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -11,8 +11,9 @@ adds what earlier chunks contribute:
 
 Split points are the rows whose hash is 0 modulo `rate`, so they are a fixed function of the data: a
 recomputed task or a second scan gets the same chunks.  About rows/rate <= MAX_SPLITS of them exist, which
-bounds both broadcasts (split points and chunk summaries) whatever the size of the table.  An input that
-fits in one chunk skips all of this and runs the plain window.
+bounds both broadcasts (split points and chunk summaries) whatever the size of the table.  Work without any
+key has no split points to look up: its rows are dealt out by range of the order, written once, and the
+range is the chunk.  An input that fits in one chunk skips all of this and runs the plain window.
 """
 
 from __future__ import annotations
@@ -33,7 +34,6 @@ DEFAULT_CHUNK_ROWS = 2_000_000
 MAX_SPLITS = 1 << 17
 _SPLITS = "_splits"
 _AXIS = "_axis"
-_ALL = "_all"
 _COLD = -1
 
 
@@ -100,40 +100,52 @@ def default_chunk_rows(df: DataFrame) -> int:
 class Layout:
     """Order of rows per key, plus the split points of keys too large for one task."""
 
-    def __init__(self, keys: list[str], order: list[str], splits: DataFrame | None, rows: int, steps: int = 0):
+    def __init__(
+        self, keys: list[str], order: list[str], splits: DataFrame | None, rows: int, steps: int = 0, ranges: int = 0
+    ):
         self.keys = keys
         self.order = order
         self.splits = splits
         self.rows = rows
         self.steps = steps
+        self.ranges = ranges
+
+    @property
+    def chunked(self) -> bool:
+        return self.splits is not None or self.ranges > 0
 
     def refine(self, group: list[str]) -> Layout:
         """The same chunks for a finer grouping whose groups are unbroken runs of a key's order.
 
         Use it on rows that this layout has assigned: it saves planning anew, and no shuffle is added.
         """
-        return Layout(group, self.order, self.splits, self.rows, self.steps)
+        return Layout(group, self.order, self.splits, self.rows, self.steps, self.ranges)
 
     # -- chunk numbers ---------------------------------------------------------------------------
 
     def assign(self, df: DataFrame) -> DataFrame:
-        """Add the chunk number; one broadcast lookup, no shuffle."""
-        if self.splits is None:
+        """Add the chunk number: with keys by one broadcast lookup and no shuffle, without by range.
+
+        Ranges hold equal shares of the rows, null times too, as the whole order decides.  They are written,
+        so that a recomputed task cannot cut them differently.
+        """
+        if not self.chunked:
             return df.withColumn(CHUNK, F.lit(_COLD))
-        names = self.keys or [_ALL]
-        left = df if self.keys else df.withColumn(_ALL, F.lit(0))
-        right = self.splits.select(*[F.col(k).alias(f"_s_{k}") for k in names], _SPLITS, _AXIS)
-        joined = left.join(F.broadcast(right), _null_safe(names, "_s_"), "left")
+        if self.ranges:
+            dealt = df.repartitionByRange(self.ranges, *self.order)
+            return staged(dealt.withColumn(CHUNK, F.spark_partition_id()), "ranges")
+        right = self.splits.select(*[F.col(k).alias(f"_s_{k}") for k in self.keys], _SPLITS, _AXIS)
+        joined = df.join(F.broadcast(right), _null_safe(self.keys, "_s_"), "left")
         # Search the plain first order column; full positions matter only next to a split point's own value.
+        # Nulls come first, as in the window.
         first, axis, before = F.col(self.order[0]), F.col(_AXIS), F.col("_before_axis")
-        joined = joined.withColumn(
-            "_before_axis", F.when(axis.isNotNull(), _search(axis, lambda at: at < first, self.steps))
-        )
+        earlier = lambda at: F.coalesce(at < first, at.isNull() & first.isNotNull())
+        joined = joined.withColumn("_before_axis", F.when(axis.isNotNull(), _search(axis, earlier, self.steps)))
         exact = _search(F.col(_SPLITS), lambda at: at <= _point(self.order), self.steps)
-        place = F.when(F.get(axis, before) == first, exact).otherwise(before)
+        place = F.when(F.get(axis, before).eqNullSafe(first), exact).otherwise(before)
         return (
-            joined.withColumn(CHUNK, F.coalesce(place, F.lit(_COLD)))
-            .drop(_SPLITS, _AXIS, "_before_axis", _ALL, *[f"_s_{k}" for k in names])
+            joined.withColumn(CHUNK, F.coalesce(F.when(axis.isNotNull(), place), F.lit(_COLD)))
+            .drop(_SPLITS, _AXIS, "_before_axis", *[f"_s_{k}" for k in self.keys])
         )
 
     def settle(self, df: DataFrame) -> DataFrame:
@@ -142,7 +154,7 @@ class Layout:
         Each running step on split keys reads its input twice, for the rows and for the summaries, so a
         chain of steps would compute its beginning over and over.
         """
-        return df if self.splits is None else staged(df, "rows")
+        return staged(df, "rows") if self.chunked else df
 
     # -- windows ---------------------------------------------------------------------------------
 
@@ -164,7 +176,7 @@ class Layout:
             for name, run in runs.items()
         }
         rows = df.withColumns(local)
-        if self.splits is None:
+        if not self.chunked:
             return rows
         rows = self._with_carry(df, rows, runs, reverse)
         return rows.withColumns(
@@ -177,7 +189,7 @@ class Layout:
             return self.neighbour(self.assign(df), name, columns, ahead).drop(CHUNK)
         picked = F.struct(*columns)
         rows = df.withColumn(name, F.lag(picked).over(self._window(reverse=ahead)))
-        if self.splits is None:
+        if not self.chunked:
             return rows
         runs = {name: run_last(picked)}
         rows = self._with_carry(df, rows, runs, reverse=ahead)
@@ -230,17 +242,18 @@ def layout(
     rows = df.count()
     if rows <= chunk_rows:
         return Layout(keys, order, None, rows)
+    if not keys:
+        return Layout(keys, order, None, rows, ranges=min(math.ceil(rows / chunk_rows), MAX_SPLITS))
     rate = max(chunk_rows, math.ceil(rows / MAX_SPLITS))
-    slim = df.select(*keys, *order) if keys else df.select(*order).withColumn(_ALL, F.lit(0))
-    names = keys or [_ALL]
     splits = (
-        slim.where(F.pmod(F.xxhash64(*keys, *order), F.lit(rate)) == 0)
-        .groupBy(*names)
+        df.select(*dict.fromkeys([*keys, *order]))
+        .where(F.pmod(F.xxhash64(*keys, *order), F.lit(rate)) == 0)
+        .groupBy(*keys)
         .agg(F.array_sort(F.collect_list(_point(order))).alias(_SPLITS))
     )
     axis = F.transform(_SPLITS, lambda at: at["o0"]).alias(_AXIS)
     # Written once, as every step and its summaries look the split points up.
-    splits = staged(splits.select(*names, _SPLITS, axis), "splits")
+    splits = staged(splits.select(*keys, _SPLITS, axis), "splits")
     longest = splits.agg(F.max(F.size(_SPLITS))).first()[0]
     if not longest:
         return Layout(keys, order, None, rows)
@@ -263,5 +276,7 @@ def _search(splits: Column, passes: Callable[[Column], Column], steps: int) -> C
     return F.aggregate(
         sizes,
         F.lit(0),
-        lambda at, step: F.when(passes(F.get(splits, at + step - 1)), at + step).otherwise(at),
+        lambda at, step: F.when(
+            (at + step <= F.size(splits)) & passes(F.get(splits, at + step - 1)), at + step
+        ).otherwise(at),
     )

@@ -18,13 +18,19 @@ def map_project(spark, folder):
     return sensors(spark, folder)
 
 
-@query("map_with_setup", "select event_id, 'pv:' || user_id as label from events where event_type = 'view'")
+@query(
+    "map_with_setup",
+    "select event_id, case event_type when 'view' then 'pv:' when 'purchase' then 'buy:' else 'other:' end || user_id "
+    "as label from events",
+)
 def map_with_setup_query(spark, folder):
     def label(prefix: dict, batch: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"event_id": batch.event_id, "label": prefix["view"] + batch.user_id.astype(str)})
+        label = batch.event_type.map(prefix).fillna("other:") + batch.user_id.astype(str)
+        return pd.DataFrame({"event_id": batch.event_id, "label": label})
 
-    rows = events(spark, folder, "view").select("event_id", "user_id")
-    return map_with_setup(rows, "event_id long, label string", lambda: {"view": "pv:"}, label, dict.clear)
+    rows = events(spark, folder).select("event_id", "event_type", "user_id")
+    prefixes = {"view": "pv:", "purchase": "buy:"}
+    return map_with_setup(rows, "event_id long, label string", lambda: dict(prefixes), label, dict.clear)
 
 
 @query(

@@ -68,10 +68,10 @@ def parse_rejects(spark, folder):
 @query(
     "parse_access_log",
     "select '10.0.0.' || (user_id % 256) as ip, cast(user_id as varchar) as user_id, date_trunc('second', ts) as ts, "
-    f"'GET' as method, '/item/' || {SQL_ITEM} as url from events where event_type = 'view'",
+    f"'GET' as method, '/item/' || {SQL_ITEM} as url from events",
 )
 def parse_access_log_query(spark, folder):
-    lines = behaviour(spark, folder, "view").select(
+    lines = behaviour(spark, folder).select(
         F.concat_ws(
             " ",
             F.concat(F.lit("10.0.0."), F.col("user_id") % 256),
@@ -115,10 +115,10 @@ def external_table_scan(spark, folder):
     return spark.sql("SELECT id, ts, vc FROM sensor_file WHERE vc > 50")
 
 
-@query("view_with_rename", "select event_id as id, value as vc, ts as times from events where value > 50")
+@query("view_with_rename", "select event_id as id, value as vc, ts as times from events")
 def view_with_rename(spark, folder):
     register_view(events(spark, folder), "readings", "event_id AS id", "value AS vc", "ts AS times")
-    return spark.sql("SELECT id, vc, times FROM readings WHERE vc > 50")
+    return spark.sql("SELECT id, vc, times FROM readings")
 
 
 @query(

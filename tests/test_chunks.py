@@ -1,6 +1,7 @@
 """The chunked path must give what one plain window gives, also for hot keys and without a key."""
 
 import pytest
+from conftest import SF_SMALL
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -8,6 +9,7 @@ from millrace.plans.chunks import (
     CHUNK, layout, run_count, run_first, run_last, run_max, run_min, run_sum,
 )
 from millrace.plans.skew import salted_join
+from millrace.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +32,7 @@ def _same(a, b):
 @pytest.mark.parametrize("reverse", [False, True])
 def test_running_equals_plain_window(spark, rows, small_chunks, keys, reverse):
     plan = layout(rows, keys, ["ts", "event_id"])
-    assert plan.splits is not None
+    assert plan.chunked
     assert plan.assign(rows).groupBy(*keys, CHUNK).count().count() > 60
     got = plan.running(
         rows, reverse=reverse,
@@ -85,3 +87,25 @@ def test_salted_join_equals_plain_join(spark, rows, how):
     got = salted_join(left, right, ["k"], how, bounded, ["a"], ["b"], cell_rows=20)
     want = left.join(right.withColumnRenamed("k", "k2"), (F.col("k") == F.col("k2")) & bounded, how).drop("k2")
     _same(got.select("k", "a", "b"), want.select("k", "a", "b"))
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_null_times_are_split_too(spark, rows, small_chunks, keys):
+    """Nine tenths of the rows have no time: no chunk may hold a large share, and the answer stays."""
+    sparse = rows.withColumn("ts", F.when(F.col("event_id") % 10 == 0, F.col("ts")))
+    plan = layout(sparse, keys, ["ts", "event_id"])
+    largest = plan.assign(sparse).where("k = 1" if keys else "true").groupBy(CHUNK).count().agg(F.max("count")).first()[0]
+    assert largest < 600
+    w = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("ts", "event_id")
+    want = sparse.withColumn("n", F.count("*").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    got = plan.running(sparse, n=run_count())
+    _same(got.select(sorted(got.columns)), want.select(sorted(want.columns)))
+
+
+UNKEYED = ["pv_running", "uv_running", "broadcast_rule_asof", "wm_per_record_trace", "late_data_audit", "allowed_lateness_refires"]
+
+
+@pytest.mark.parametrize("name", UNKEYED)
+def test_ordered_work_without_key_has_no_nested_loop(spark, small_chunks, name):
+    plan = QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
