@@ -26,12 +26,19 @@ def top_n(df: DataFrame, group: list[str], by: list[Column], n: int) -> DataFram
 def hot_in_windows(
     df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str], n: int, max_copies: int = MAX_COPIES
 ) -> DataFrame:
-    """The `n` most frequent keys of each sliding window; ties go to the smaller key."""
+    """The `n` most frequent keys of each sliding window; ties go to the smaller key.
+
+    The plan depends on size and slide only, never on the data.
+    """
+    by = [F.col("n").desc(), *[F.col(k).asc() for k in keys]]
     if span_us(size) <= max_copies * span_us(slide_by):
-        counts = slide_count(df, ts, size, slide_by, keys)
+        ranked = top_n(slide_count(df, ts, size, slide_by, keys), ["window_end"], by, n)
     else:
-        counts = _contenders(df, ts, size, slide_by, keys, n)
-    ranked = top_n(counts, ["window_end"], [F.col("n").desc(), *[F.col(k).asc() for k in keys]], n)
+        # Between two change points of a cell the ranking stands still, so only its first n become windows.
+        width, step = span_us(size), span_us(slide_by)
+        best = top_n(_contenders(df, ts, size, slide_by, keys, n), ["_cell", "_from"], by, n)
+        starts = F.sequence(F.col("_from"), F.col("_to") - step, F.lit(step).cast("long"))
+        ranked = best.withColumn("_start", F.explode(starts)).withColumn("window_end", from_micros(F.col("_start") + width))
     return ranked.select("window_end", *keys, "n", "rk")
 
 
@@ -57,11 +64,12 @@ def slide_stretches(df: DataFrame, ts: str, size: str, slide_by: str, keys: list
 
 
 def _contenders(df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str], n: int) -> DataFrame:
-    """Counts per window of all keys that can be among its top `n`, and of few others.
+    """Counts of all keys that can be among the top `n` of a window, and of few others, as stretches that start and
+    end together: windows of one cell starting in [_from, _to) have the same keys and counts.
 
     Time is cut into cells of several windows.  In a cell a key has a lowest count, if it is present
     throughout, and a highest one.  The n-th best lowest count is a bar: a key whose highest count is below
-    it is beaten by n keys in every window of the cell, and is dropped before stretches become windows.
+    it is beaten by n keys in every window of the cell, and is dropped.
     """
     width, step = span_us(size), span_us(slide_by)
     cell_us = step * math.ceil(math.sqrt(2 * width / step))
@@ -69,7 +77,7 @@ def _contenders(df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str
     stretches = slide_stretches(df, ts, size, slide_by, keys)
     touched = F.sequence(cell_of(F.col("_from")), cell_of(F.col("_to") - step), F.lit(cell_us).cast("long"))
     begin, end = F.greatest("_from", "_cell"), F.least(F.col("_to"), F.col("_cell") + cell_us)
-    # A fixed number of partitions, which are not merged for being small: each row will become many windows.
+    # A fixed number of partitions, which are not merged for being small: each row will become many stretches.
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = stretches.withColumn("_cell", F.explode(touched)).repartition(partitions, "_cell", *keys)
     # The pieces of a key in a cell are at most as many as the cell has windows.
@@ -91,8 +99,16 @@ def _contenders(df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str
         | (F.col("_high") > F.col("_bar"))
         | ((F.col("_high") == F.col("_bar")) & (F.struct(*keys) <= F.col("_bar_key")))
     )
-    runs = kept.select(*keys, F.inline("_pieces"))
-    starts = F.sequence(F.col("_from"), F.col("_to") - step, F.lit(step).cast("long"))
-    return runs.select(*keys, "n", F.explode(starts).alias("_start")).select(
-        *keys, "n", from_micros(F.col("_start") + width).alias("window_end")
+    runs = kept.select("_cell", *keys, F.inline("_pieces"))
+    # At most one change point per window of the cell, and its end.
+    points = runs.select("_cell", F.explode(F.array("_from", "_to")).alias("_at")).groupBy("_cell").agg(
+        F.array_sort(F.collect_set("_at")).alias("_points")
+    )
+    runs = salted_join(staged(runs, "runs"), staged(points, "points"), ["_cell"], left_by=[*keys, "_from"])
+    inside = F.filter("_points", lambda at: (at >= F.col("_from")) & (at <= F.col("_to")))
+    pairs = F.arrays_zip(
+        F.slice(inside, 1, F.size(inside) - 1).alias("_from"), F.slice(inside, 2, F.size(inside) - 1).alias("_to")
+    )
+    return runs.select("_cell", *keys, "n", F.explode(pairs).alias("_part")).select(
+        "_cell", *keys, "n", F.col("_part._from").alias("_from"), F.col("_part._to").alias("_to")
     )
