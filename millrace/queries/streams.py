@@ -108,24 +108,6 @@ def stream_win_all(spark, folder):
     return window_job(spark, "all", build)
 
 
-def hourly_views(spark, folder, delay):
-    def build(end):
-        rows = end.follow(feed(spark, folder, "view").select("ts")).withWatermark("ts", delay)
-        return tumble(rows, "ts", "1 hour", [], row_count())
-
-    return window_job(spark, "views", build)
-
-
-@query("wm_ascending", SQL_PV)
-def wm_ascending(spark, folder):
-    return hourly_views(spark, folder, "0 seconds")
-
-
-@query("wm_bounded", SQL_PV)
-def wm_bounded(spark, folder):
-    return hourly_views(spark, folder, "3 seconds")
-
-
 @query("stream_pv_hourly", SQL_PV)
 def stream_pv_hourly(spark, folder):
     """Update mode: every micro-batch restates the windows it touched, the newest statement holds."""
@@ -152,22 +134,6 @@ def stream_flush_all_windows(spark, folder):
     return replayed(spark, "flush", build).agg(F.count("*").alias("windows"), F.sum("n").alias("n"))
 
 
-@query(
-    "wm_min_of_inputs",
-    "select time_bucket(interval 1 hour, ts) as window_start, time_bucket(interval 1 hour, ts) + interval 1 hour "
-    "as window_end, count(*) as n from events where event_type in ('view', 'purchase') group by all",
-)
-def wm_min_of_inputs(spark, folder):
-    """Two watermarked inputs: the slower one decides when a window closes."""
-
-    def build(end):
-        views = end.follow(feed(spark, folder, "view").select("ts")).withWatermark("ts", "0 seconds")
-        bought = end.follow(feed(spark, folder, "purchase").select("ts")).withWatermark("ts", "30 minutes")
-        return tumble(union_all(views, bought), "ts", "1 hour", [], row_count())
-
-    return window_job(spark, "inputs", build)
-
-
 @query("stream_uv_hourly", SQL_UV)
 def stream_uv_hourly(spark, folder):
     def build(end):
