@@ -43,24 +43,32 @@ def latest(kind: str, delay: str) -> str:
 
 
 def delivered(
-    spark: SparkSession, folder: str, build: Callable[[Callable[[], DataFrame], EndMarker], DataFrame]
+    spark: SparkSession,
+    folder: str,
+    build: Callable[[Callable[[], DataFrame], EndMarker], DataFrame],
+    columns: tuple[str, ...] = ("event_type", "ts"),
 ) -> DataFrame:
     """Run the job that `build` makes over all deliveries and the end marker, from one checkpoint."""
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    rows = events(spark, folder).select("event_type", "ts", (us + F.col("event_id") % 24 * HOUR_US).alias("came"))
+    rows = events(spark, folder).select(*columns, (us + F.col("event_id") % 24 * HOUR_US).alias("came"))
     lo, hi = rows.agg(F.min("came"), F.max("came")).first()
     target = fresh_dir(spark, "deliveries")
     marker = EndMarker(spark, f"{target}/end")
     part = F.expr(f"(came - {lo}) * {PARTS} div ({hi} - {lo} + 1)") if lo is not None else F.lit(0)
     rows = rows.withColumn("part", part).withColumn("ts", F.col("ts").cast("timestamp"))
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
     # No bound on the files of a micro-batch: what is late depends on where a delivery ends.
-    feed = lambda: stream_table(spark, f"{target}/in", "event_type string, ts timestamp")
+    feed = lambda: stream_table(spark, f"{target}/in", schema)
     for k in range(PARTS):
-        rows.where(F.col("part") == k).select("event_type", "ts").write.mode("append").parquet(f"{target}/in")
+        rows.where(F.col("part") == k).select(*columns).write.mode("append").parquet(f"{target}/in")
         drain(build(feed, marker), parquet_batches(f"{target}/out"), f"{target}/checkpoint")
     marker.set()
     drain(build(feed, marker), parquet_batches(f"{target}/out"), f"{target}/checkpoint")
-    out = read_batches(spark, f"{target}/out").drop("batch")
+    return read_batches(spark, f"{target}/out").drop("batch")
+
+
+def delivered_windows(spark: SparkSession, folder: str, build) -> DataFrame:
+    out = delivered(spark, folder, build)
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
@@ -72,7 +80,7 @@ def hourly_views(spark: SparkSession, folder: str, delay: str) -> DataFrame:
     def build(feed, end):
         return tumble(end.follow(of_type(feed, "view")).withWatermark("ts", delay), "ts", "1 hour", [], row_count())
 
-    return delivered(spark, folder, build)
+    return delivered_windows(spark, folder, build)
 
 
 @query("wm_ascending", sql_survivors("'view'", latest("view", "0 second")))
@@ -102,4 +110,4 @@ def wm_min_of_inputs(spark, folder):
         bought = end.follow(of_type(feed, "purchase")).withWatermark("ts", "12 hours")
         return tumble(union_all(views, bought), "ts", "1 hour", [], row_count())
 
-    return delivered(spark, folder, build)
+    return delivered_windows(spark, folder, build)
