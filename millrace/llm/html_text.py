@@ -32,11 +32,16 @@ _BLOCKS = (
     "tfoot", "th", "thead", "tr", "ul",
 )
 _VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
-_NOISE = re.compile(
-    r"(?i)(?:^|[\s_-])(ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|disqus|footer|gdpr|menu|modal|nav\w*|"
-    r"newsletter|notice|pagination|popup|promo\w*|related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|"
-    r"widget)(?:$|[\s_-])"
+_TEXTS = (
+    "blockquote", "caption", "h1", "h2", "h3", "h4", "h5", "h6", "p", "pre", "table", "tbody", "td", "tfoot", "th",
+    "thead", "tr",
 )
+_NOISE_NAMES = (
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|cookies?|disqus|footer|gdpr|menu|modal|nav\w*|newsletter|notice|"
+    r"pagination|popup|promo\w*|related|share|sharing|sidebar|social|sponsor\w*|subscribe|toolbar|widget)"
+)
+_NOISE = re.compile(rf"(?i)(?:^|[\s_-]){_NOISE_NAMES}(?:$|[\s_-])")
+_WHOLE_NOISE = re.compile(rf"(?i)(?:^|\s){_NOISE_NAMES}(?:$|\s)")
 _NOISY_ROLES = ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "menu", "form")
 
 _TOKEN = re.compile(
@@ -46,16 +51,27 @@ _ATTRIBUTE = re.compile(r"([a-zA-Z][\w-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>
 _CLOSE = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in _SILENT}
 _WHITE = re.compile(r"\s+")
 _BLOCK_SET, _VOID_SET = frozenset(_BLOCKS), frozenset(_VOID)
+_NAMED = _BLOCK_SET - {"html", "body", *_TEXTS}  # elements that a class or an id can call noise
+
 
+def _noisy(element: str, attributes: str, kind: int) -> bool:
+    """Whether attributes call an element noise.
 
-def _noisy(attributes: str) -> bool:
+    An id is often a heading's words joined by hyphens, and a class one of many, so inside an article only a role or a
+    whole class tells; outside, an article is judged by whole classes, and other ids as a whole.
+    """
     if not attributes or attributes.isspace():
         return False
     for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'")
-        if name in ("class", "id") and _NOISE.search(value):
+        if name == "role" and value.lower() in _NOISY_ROLES:
             return True
-        if name == "role" and value.lower() in _NOISY_ROLES or name == "hidden":
+        if name == "class" and element in _NAMED:
+            if (_WHOLE_NOISE if kind == KEEP or element in _BODY else _NOISE).search(value):
+                return True
+        if kind == KEEP:
+            continue
+        if name == "id" and element in _NAMED and element not in _BODY and _WHOLE_NOISE.search(value) or name == "hidden":
             return True
         if name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return True
@@ -119,7 +135,7 @@ def page_lines(page: str) -> tuple[list[str], list[int]]:
             continue  # plain inline elements change nothing
         stack.append((name, kind))
         if kind != DROP:
-            if name in _CHROME or _noisy(found[3]) or name == "header" and kind != KEEP:
+            if name in _CHROME or _noisy(name, found[3], kind) or name == "header" and kind != KEEP:
                 kind = DROP
             elif name in _BODY:
                 kind = KEEP

@@ -111,6 +111,21 @@ def test_lines_of_a_page():
         html_text.page_lines(odd_page)
 
 
+def test_names_inside_an_article_are_not_noise():
+    page = PAGE % """<article class="post category-social-media"><h2 id="related-work">Related work</h2>
+    <section id="social-impact"><p>Impact</p></section><p class="share-price">Up <b id="ads">5</b></p>
+    <h2 id="ads-and-media">Ads</h2><table class="menu"><tr><td class="social">Cell</table><div class="notice-of-death">Died</div>
+    <div class="box share">Share me</div><div role="navigation">Back</div><ul class="social"><li>Follow</ul></article>"""
+    lines, kinds = html_text.page_lines(page)
+    kept = [line for line, kind in zip(lines, kinds) if kind == html_text.KEEP]
+    assert kept == ["Related work", "Impact", "Up 5", "Ads", "Cell", "Died"]
+    assert {line for line, kind in zip(lines, kinds) if kind == html_text.DROP} >= {"Share me", "Back", "Follow", "Buy", "First!"}
+    page = """<body class="no-sidebar"><div id="footer">F</div><div class="nav-bar">N</div><h2 id="related-work">R</h2>
+    <section id="social-impact">S</section><p class="share-price">P</p>"""
+    lines, kinds = html_text.page_lines(page)
+    assert list(zip(lines, kinds)) == [("F", -1), ("N", -1), ("R", 0), ("S", 0), ("P", 0)]
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     rng = random.Random(3)
     for _ in range(300):
