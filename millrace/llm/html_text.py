@@ -5,13 +5,15 @@ the neighbour on its host whose path shares the longest beginning.  The two line
 common subsequence, and the lines they share go: a site's menus, notices and footers are on both pages, the article
 is on one.  Markup that says what a block is comes first: lines inside `article` or `main` stay even if shared (two
 pages can carry the same article), lines inside menus, footers, adverts, forms, comments and the like go even if no
-neighbour has them.  So the difference decides about every line that the markup leaves open.
+neighbour has them.  So the difference decides about every line that the markup leaves open.  A neighbour that
+is a copy of the page under another URL decides nothing; the nearest page that is none does.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,6 +22,7 @@ from pyspark.sql import functions as F
 from millrace.llm.neighbours import OWN, ranged
 
 KEEP, OPEN, DROP = 1, 0, -1
+ROWS = 1000  # of a batch of results
 
 # Element names of the HTML standard.
 _SILENT = ("script", "style", "noscript", "template", "svg", "iframe", "object", "title", "textarea", "select")
@@ -177,6 +180,15 @@ def shared(mine: list[str], other: list[str]) -> set[int]:
     return found
 
 
+def _copy(lines: list[str], kinds: list[int], other: list[str], other_kinds: list[int], found: set[int]) -> bool:
+    """Whether a page's open lines are the other page's text: 90 % of the characters of the smaller and half of those
+    of the larger are shared, so a print view is a copy and a page of menus only is not."""
+    mine = sum(len(t) for t, k in zip(lines, kinds) if k == OPEN)
+    yours = sum(len(t) for t, k in zip(other, other_kinds) if k != DROP)
+    both = sum(len(lines[i]) for i in found if kinds[i] == OPEN)
+    return 10 * both >= 9 * min(mine, yours) and 2 * both >= max(mine, yours) > 0
+
+
 def _alike(a: str, b: str) -> int:
     n = 0
     for x, y in zip(a, b):
@@ -190,8 +202,10 @@ def main_texts(pages: DataFrame) -> DataFrame:
     """Main text of every page: page_id, url, text, n_chars, n_shared (lines that the difference deleted).
 
     A null page is empty and gives an empty text.  Pages without a URL form a host of their own.  Repeated URLs are
-    neighbours in order of page_id.  A page alone on its host is judged by markup only.  Each page moves once, to the
-    range of its host and path, so a host with a third of all pages spreads over many tasks.
+    neighbours in order of page_id.  A page alone on its host is judged by markup only.  A neighbour that is a copy
+    (`_copy`) says nothing about open lines; the page on the other side is asked, and behind pages with the same html
+    the next ones.  If all are copies, open lines stay.  Each page moves once, to the range of its host and path, so a
+    host with a third of all pages spreads over many tasks; only pages beside a range's ends move again.
     """
     url = F.coalesce(F.col("url"), F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][\w+.-]*://([^/?#]*)", 1))
@@ -200,39 +214,71 @@ def main_texts(pages: DataFrame) -> DataFrame:
         "_host": host, "_path": path, "_id": F.coalesce(F.col("page_id"), F.lit(-(2**63))),
         "_tie": F.xxhash64("html"),
     }
-    rows = ranged(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), key, before=True)
+    rows = ranged(
+        pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html"), key, before=True, alike=("_host", "_tie")
+    )
 
-    def run(batches):
-        before = waiting = None  # parsed pages; `waiting` still needs the page after it
+    def texts(run, around):
+        """Results of a run of pages with one html; `around` has the page before it and the page after it."""
+        pages, (lines, kinds), _ = run
+        found = {None: (set(range(len(lines))), OPEN in kinds)}  # shared lines with a page, and whether it is a copy
+
+        def compared(i):
+            if i not in found:
+                both = shared(lines, around[i][1][0])
+                found[i] = both, _copy(lines, kinds, *around[i][1], both)
+            return found[i]
 
-        def result(page, neighbours):
-            page_id, url, host, path, (lines, kinds), _ = page
-            near = [n for n in neighbours if n and n[2] == host]
+        for at, (page_id, url, path, side) in enumerate(pages):
+            if side != OWN:
+                continue
+            paths = [n and n[0][2] for n in around]  # of the pages before and after; None in `near` is the run itself
+            near = [
+                (pages[at - 1][2], None) if at else (paths[0], 0),
+                (pages[at + 1][2], None) if at + 1 < len(pages) else (paths[1], 1),
+            ]
+            far = [(paths[i], i) for i in (0, 1) if near[i][1] is None]
+            # The nearest page first, of equally near ones the page before; behind a run the next pages.
+            order = [i for part in (near, far) for p, i in sorted(
+                (x for x in part if x[0] is not None), key=lambda x: -_alike(path, x[0])
+            )]
             gone = set()
-            if near:
-                best = max(near, key=lambda n: _alike(path, n[3]))  # of equally near ones the page before
-                gone = {i for i in shared(lines, best[4][0]) if kinds[i] != KEEP}
+            if order:
+                both, is_copy = compared(next((i for i in order if not compared(i)[1]), order[0]))
+                gone = {i for i in both if kinds[i] == DROP or kinds[i] == OPEN and not is_copy}
             text = "\n".join(t for i, (t, k) in enumerate(zip(lines, kinds)) if k != DROP and i not in gone)
-            return page_id, url, text, len(text), len(gone)
-
-        for batch in batches:
-            out = []
-            columns = (batch.column(c).to_pylist() for c in ("page_id", "url", "_host", "_path", "html", "_side"))
-            for page_id, link, host, path, page, side in zip(*columns, strict=True):
-                row = (page_id, link, host, path, page_lines(page or ""), side)
-                if waiting:
-                    out.append(result(waiting, (before, row)))
-                    before = waiting
-                if side == OWN:
-                    waiting = row
-                else:
-                    before, waiting = (row, None) if side < OWN else (None, None)
-            if out:
-                yield _batch(out)
-        if waiting:
-            yield _batch([result(waiting, (before,))])
-
-    return rows.select("page_id", "url", "_host", "_path", "html", "_side").mapInArrow(
+            yield page_id, url, text, len(text), len(gone)
+
+    def run(batches):
+        last = now = None  # runs: pages, parsed html, (range, host, html)
+
+        def results(last, now, following):
+            around = []
+            for other, end in ((last, -1), (following, 0)):
+                around.append((other[0][end], other[1]) if other and other[2][:2] == now[2][:2] else None)
+            return texts(now, around)
+
+        def rows_of(batches):
+            nonlocal last, now
+            for batch in batches:
+                names = ("page_id", "url", "_path", "_side", "_range", "_host", "html")
+                for page_id, url, path, side, *same in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                    same[2] = same[2] or ""
+                    if now and now[2] == same:
+                        now[0].append((page_id, url, path, side))
+                        continue
+                    following = [(page_id, url, path, side)], page_lines(same[2]), same
+                    if now:
+                        yield from results(last, now, following)
+                    last, now = now, following
+            if now:
+                yield from results(last, now, None)
+
+        rows = rows_of(batches)
+        while part := list(islice(rows, ROWS)):
+            yield _batch(part)
+
+    return rows.select("page_id", "url", "_host", "_path", "html", "_side", "_range").mapInArrow(
         run, "page_id long, url string, text string, n_chars long, n_shared long"
     )
 

@@ -151,6 +151,51 @@ def test_differencing_without_markup(spark):
     assert html_text.main_texts(same).count() == 4
 
 
+@pytest.mark.parametrize("parts", [1, 6])
+def test_copies_under_another_url_decide_nothing(spark, parts):
+    body = "<body><div>Top links</div><p>{0} has one long line</p><p>{0} has one more long line</p>{1}<div>Bottom</div></body>"
+    text = "{0} has one long line\n{0} has one more long line".format
+    rows = [(i, f"http://h.example/a/{i}", body.format(f"Story {i}", "")) for i in range(9)]
+    rows += [(10, "http://h.example/a/4?utm_source=x", rows[4][2]), (11, "http://h.example/a/6?utm_source=x", rows[6][2] + "<link>")]
+    rows += [(20 + i, "http://h.example/a/7", rows[7][2]) for i in range(40)]  # repeated rows over several ranges
+    rows += [(70, "http://two.example/x", rows[1][2]), (71, "http://two.example/x?print=1", "<p>" + text("Story 1").replace("\n", "<p>"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        got = {r.page_id: r.text for r in html_text.main_texts(pages).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(got) == len(rows)
+    for i in (*range(9), 10, 11, *range(20, 60)):
+        story = {10: 4, 11: 6}.get(i, min(i, 7) if i != 8 else 8)
+        assert got[i] == text(f"Story {story}"), i
+    assert text("Story 1") in got[70] and got[71] == text("Story 1")  # no other page: nothing of the article goes
+
+
+@pytest.mark.parametrize("parts", [1, 5, 9])
+def test_ranges_have_the_rows_behind_a_stretch(spark, parts):
+    rng = random.Random(8)
+    keys = sorted((h, t) for h, t in ((rng.randrange(3), rng.choice((0, 0, 0, 1, 1, 2))) for _ in range(60)))
+    rows = spark.createDataFrame([(i, *k) for i, k in enumerate(keys)], "id long, h int, t int").repartition(4)
+    key = {"a": rows["h"], "b": rows["id"], "c": rows["t"]}
+    marked = ranged(rows, key, partitions=parts, before=True, alike=("a", "c")).collect()
+    own = [r for r in marked if r._side == 0]
+    assert sorted(r.id for r in own) == list(range(60))
+    for number in {r._range for r in own}:
+        here = [r.id for r in own if r._range == number]
+        want = set(here)
+        for edge, step in ((here[0], -1), (here[-1], 1)):
+            at = edge + step
+            if 0 <= at < 60:
+                want.add(at)
+            while 0 <= at < 60 and keys[at] == keys[edge]:
+                at += step
+            if 0 <= at < 60:
+                want.add(at)
+        ids = [r.id for r in marked if r._range == number]
+        assert ids == sorted(want)
+
+
 def test_pages_keep_their_article(spark):
     pages = spark.read.parquet(SF_SMALL + "/pages.parquet")
     got = {r.page_id: r.text for r in html_text.main_texts(pages).collect()}
