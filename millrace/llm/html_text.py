@@ -126,7 +126,7 @@ def page_lines(page: str) -> tuple[list[str], list[int]]:
                     del stack[depth:]
                     break
             continue
-        if name in _CLOSE:
+        if name in _CLOSE and not (name == "svg" and found[3].endswith("/")):
             end = _CLOSE[name].search(page, at)
             at = end.end() if end else size
             continue

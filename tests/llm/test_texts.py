@@ -111,6 +111,11 @@ def test_lines_of_a_page():
         html_text.page_lines(odd_page)
 
 
+def test_a_self_closing_svg_hides_only_itself():
+    page = '<article><p>One <svg class="icon"/> two<p>Three <svg/><svg><text>skip</text></svg> four</article>'
+    assert html_text.page_lines(page) == (["One two", "Three four"], [html_text.KEEP] * 2)
+
+
 def test_names_inside_an_article_are_not_noise():
     page = PAGE % """<article class="post category-social-media"><h2 id="related-work">Related work</h2>
     <section id="social-impact"><p>Impact</p></section><p class="share-price">Up <b id="ads">5</b></p>
