@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import exact_dedup, mixing, warc
+from millrace.llm import divergence, exact_dedup, hard_negatives, mixing, secrets, warc
 from millrace.llm.common import load
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.html_text import main_texts
@@ -62,6 +62,18 @@ def counted(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(load(spark, folder, "documents"))
 
 
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.document_secrets(load(spark, folder, "documents"))
+
+
+def divergent(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.source_divergence(load(spark, folder, "documents"))
+
+
+def negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives.hard_negatives(load(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": near,
     "op2_html_main_text": main_text,
@@ -73,10 +85,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": mixture,
     "op9_best_fit_packing": packed,
     "op10_token_counts": counted,
+    "op11_secret_scan": secret_scan,
+    "op12_source_divergence": divergent,
+    "op13_hard_negatives": negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op7_warc_normalise": warc.ORACLE,
     "op8_source_mixing": mixing.ORACLE,
+    "op11_secret_scan": secrets.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
+    "op13_hard_negatives": hard_negatives.ORACLE,
 }

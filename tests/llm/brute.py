@@ -1,6 +1,7 @@
 """Plain Python versions of the operators, for small inputs."""
 
 import hashlib
+import math
 import re
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -95,3 +96,73 @@ def lcs(a, b):
         for j, y in enumerate(b):
             table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
     return table[-1][-1]
+
+
+BASE_KINDS = {
+    "assign": (r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A, 2, 12),
+    "access": ("AKIA[A-Z0-9]+", 0, 0, 18),
+    "hex": ("[0-9a-f]+", 0, 0, 16),
+}
+
+
+def secrets(text):
+    """n_assign, n_access, n_hex, base_sha256."""
+    found = []
+    for place, (kind, (pattern, flags, group, least)) in enumerate(BASE_KINDS.items()):
+        for m in re.finditer(pattern, text or "", flags):
+            if len(m[group]) >= least:
+                found.append((m.start(), place, f"{kind}:{m.start()}:{m.end()}"))
+    counts = [sum(place == k for _, place, _ in found) for k in range(3)]
+    return (*counts, sha(",".join(span for _, _, span in sorted(found))))
+
+
+def divergence(docs, min_docs=3, ranks=200):
+    """Rows (lang, source, part, item, value, rank) from rows of (lang, source, text)."""
+    docs = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", lower(text))) for lang, source, text in docs]
+    out = []
+    for lang in {d[0] for d in docs}:
+        own = [d for d in docs if d[0] == lang]
+        having = {}
+        for _, _, terms in own:
+            for t in set(terms):
+                having[t] = having.get(t, 0) + 1
+        kept = sorted(t for t, n in having.items() if n >= min_docs)
+        counts = {s: {} for s in {d[1] for d in own}}
+        for _, s, terms in own:
+            for t in terms:
+                counts[s][t] = counts[s].get(t, 0) + 1
+        whole = {t: sum(c.get(t, 0) for c in counts.values()) for t in kept}
+
+        def p_of(count):
+            total = sum(count.get(t, 0) for t in kept)
+            return {t: 1 + 10**9 * (count.get(t, 0) + 1) // (total + len(kept)) for t in kept}
+
+        p, q = {s: p_of(c) for s, c in counts.items()}, p_of(whole)
+        f = lambda a, b: (a - b) ** 2 // b
+        for s in counts:
+            parts = {
+                "pair": [(sum(f(p[s][t], p[o][t]) for t in kept), o) for o in counts if o != s],
+                "term": [(f(p[s][t], q[t]), t) for t in kept if counts[s].get(t, 0) and p[s][t] > q[t]],
+            }
+            for part, rows in parts.items():
+                rows.sort(key=lambda r: (-r[0], r[1].encode()))
+                rows = rows if part == "pair" else rows[:ranks]
+                out += [(lang, s, part, item, value, i + 1) for i, (value, item) in enumerate(rows)]
+    return sorted(out)
+
+
+def hard_negatives(rows, positives=5, negatives=3):
+    """Rows (anchor_id, positive_id, rank, negative_id, positive_score, negative_score) from (vec_id, vector, label)."""
+    own = []
+    for vec_id, vector, label in rows:
+        if None not in (vec_id, vector, label) and all(x is not None and math.isfinite(x) for x in vector):
+            own.append((vec_id, [math.floor(256 * x) for x in vector], (label + 1) % 10 if vec_id % 7 == 0 else label))
+    out = []
+    for a, v, label in own:
+        if a % 50:
+            continue
+        scored = sorted(((-sum(x * y for x, y in zip(v, w)), b, other) for b, w, other in own if b != a))
+        for s, b, _ in [r for r in scored if r[2] == label][:positives]:
+            near = [(n, -t) for t, n, other in scored if other != label and 50 * -s <= 100 * -t <= 95 * -s]
+            out += [(a, b, i + 1, n, -s, t) for i, (n, t) in enumerate(near[:negatives])]
+    return sorted(out)
