@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import bitmap_offset
+from millrace.functions.times import window_start
 from millrace.operators.windows import flat_window
 from millrace.sources.text import words
 
@@ -35,3 +36,21 @@ def bitmap_visitors(df: DataFrame, ts: str, user: str, size: str) -> DataFrame:
     """Distinct bitmap positions per window; users whose hashes collide count once."""
     hashed = df.select(ts, bitmap_offset(F.col(user)).alias("_offset"))
     return exact_visitors(hashed, ts, "_offset", size)
+
+
+def bitmap_rows(df: DataFrame, ts: str, user: str, size: str) -> DataFrame:
+    """Kept bitmaps: per window the buckets of the bitmap that users fall into, each one binary of fixed size."""
+    rows = df.select(window_start(ts, size).alias("window_start"), bitmap_offset(F.col(user)).alias("_offset"))
+    bucket = F.bitmap_bucket_number("_offset").alias("bucket")
+    return rows.groupBy("window_start", bucket).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_offset")).alias("bitmap"))
+
+
+def merge_bitmaps(rows: DataFrame, size: str) -> DataFrame:
+    """Bitmaps of coarser or the same windows, from those of finer ones or of parts of the data."""
+    start = window_start("window_start", size).alias("window_start")
+    return rows.groupBy(start, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def bitmap_count(rows: DataFrame) -> DataFrame:
+    """Distinct users per window of merged bitmaps."""
+    return rows.groupBy("window_start").agg(F.sum(F.bitmap_count("bitmap")).alias("uv"))

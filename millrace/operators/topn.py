@@ -30,26 +30,34 @@ def hot_in_windows(
 
     The plan depends on size and slide only, never on the data.
     """
-    by = [F.col("n").desc(), *[F.col(k).asc() for k in keys]]
     if span_us(size) <= max_copies * span_us(slide_by):
-        ranked = top_n(slide_count(df, ts, size, slide_by, keys), ["window_end"], by, n)
-    else:
-        # Between two change points of a cell the ranking stands still, so only its first n become windows.
-        width, step = span_us(size), span_us(slide_by)
-        best = top_n(_contenders(df, ts, size, slide_by, keys, n), ["_cell", "_from"], by, n)
-        starts = F.sequence(F.col("_from"), F.col("_to") - step, F.lit(step).cast("long"))
-        ranked = best.withColumn("_start", F.explode(starts)).withColumn("window_end", from_micros(F.col("_start") + width))
+        by = [F.col("n").desc(), *[F.col(k).asc() for k in keys]]
+        return top_n(slide_count(df, ts, size, slide_by, keys), ["window_end"], by, n).select("window_end", *keys, "n", "rk")
+    return hot_in_panes(staged(pane_counts(df, ts, size, slide_by, keys), "panes"), size, slide_by, keys, n)
+
+
+def hot_in_panes(
+    panes: DataFrame, size: str, slide_by: str, keys: list[str], n: int, span: tuple[int | None, int | None] = (None, None)
+) -> DataFrame:
+    """The same from a written table of pane counts, for the windows that start in `span` (microseconds on the grid)."""
+    by = [F.col("n").desc(), *[F.col(k).asc() for k in keys]]
+    # Between two change points of a cell the ranking stands still, so only its first n become windows.
+    width, step = span_us(size), span_us(slide_by)
+    best = top_n(_contenders(panes, size, slide_by, keys, n, span), ["_cell", "_from"], by, n)
+    starts = F.sequence(F.col("_from"), F.col("_to") - step, F.lit(step).cast("long"))
+    ranked = best.withColumn("_start", F.explode(starts)).withColumn("window_end", from_micros(F.col("_start") + width))
     return ranked.select("window_end", *keys, "n", "rk")
 
 
-def slide_stretches(df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str]) -> DataFrame:
+def slide_stretches(
+    panes: DataFrame, size: str, slide_by: str, keys: list[str], span: tuple[int | None, int | None] = (None, None)
+) -> DataFrame:
     """Sliding window counts as stretches: the windows starting in [_from, _to) all count `n` rows.
 
     A pane raises the count at the first window that holds it and lowers it after the last one, so there
     are at most two stretches per pane, however many windows a pane is in.
     """
     width, step = span_us(size), span_us(slide_by)
-    panes = staged(pane_counts(df, ts, size, slide_by, keys), "panes")
     on_grid = lambda at: at - F.pmod(at, F.lit(step))
     change = lambda at, n: F.struct(at.alias("_from"), n.alias("_change"))
     pane = F.col("_pane")
@@ -60,10 +68,16 @@ def slide_stretches(df: DataFrame, ts: str, size: str, slide_by: str, keys: list
     plan = layout(changes, keys, ["_from"])
     rows = plan.running(plan.assign(changes), n=run_sum(F.col("_change")))
     rows = plan.neighbour(rows, "_next", ["_from"], ahead=True)
-    return rows.where(F.col("n") > 0).select(*keys, "_from", F.col("_next._from").alias("_to"), "n")
+    begin, end = F.col("_from"), F.col("_next._from")
+    begin = begin if span[0] is None else F.greatest(begin, F.lit(span[0]).cast("long"))
+    end = end if span[1] is None else F.least(end, F.lit(span[1]).cast("long"))
+    rows = rows.where(F.col("n") > 0).select(*keys, begin.alias("_from"), end.alias("_to"), "n")
+    return rows if span == (None, None) else rows.where(F.col("_from") < F.col("_to"))
 
 
-def _contenders(df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str], n: int) -> DataFrame:
+def _contenders(
+    panes: DataFrame, size: str, slide_by: str, keys: list[str], n: int, span: tuple[int | None, int | None]
+) -> DataFrame:
     """Counts of all keys that can be among the top `n` of a window, and of few others, as stretches that start and
     end together: windows of one cell starting in [_from, _to) have the same keys and counts.
 
@@ -74,11 +88,11 @@ def _contenders(df: DataFrame, ts: str, size: str, slide_by: str, keys: list[str
     width, step = span_us(size), span_us(slide_by)
     cell_us = step * math.ceil(math.sqrt(2 * width / step))
     cell_of = lambda at: at - F.pmod(at, F.lit(cell_us))
-    stretches = slide_stretches(df, ts, size, slide_by, keys)
+    stretches = slide_stretches(panes, size, slide_by, keys, span)
     touched = F.sequence(cell_of(F.col("_from")), cell_of(F.col("_to") - step), F.lit(cell_us).cast("long"))
     begin, end = F.greatest("_from", "_cell"), F.least(F.col("_to"), F.col("_cell") + cell_us)
     # A fixed number of partitions, which are not merged for being small: each row will become many stretches.
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = stretches.withColumn("_cell", F.explode(touched)).repartition(partitions, "_cell", *keys)
     # The pieces of a key in a cell are at most as many as the cell has windows.
     cells = pieces.groupBy("_cell", *keys).agg(

@@ -36,3 +36,25 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Folder:
+    """A folder or file of any store that Spark can reach, seen from the driver."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        self.store = self.path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self.store.exists(self.path)
+
+    def names(self) -> list[str]:
+        return [f.getPath().getName() for f in self.store.listStatus(self.path)] if self.exists() else []
+
+    def delete(self) -> None:
+        self.store.delete(self.path, True)
+
+    def touch(self) -> None:
+        """An empty file; stores make it visible at once or not at all."""
+        self.store.create(self.path, True).close()

@@ -2,7 +2,7 @@
 
 from millrace.queries.registry import ORACLES, QUERIES
 from millrace.queries import (  # noqa: F401  (importing registers the queries)
-    aggregates, joins, patterns, projections, sources, state, stream_patterns, streams, time, topn, watermarks, windows,
+    aggregates, joins, patterns, projections, sources, state, stream_patterns, stream_state, streams, time, topn, watermarks, windows,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

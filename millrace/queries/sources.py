@@ -7,7 +7,7 @@ from millrace.queries.registry import (
     ORDER, SQL_ITEM, SQL_SECONDS, SQL_SENSORS, behaviour, events, query, sensors,
 )
 from millrace.plans.skew import small
-from millrace.sinks.batches import read_upserts, upsert_batches
+from millrace.sinks.upserts import read_upserts, upsert_batches
 from millrace.sinks.documents import as_document, kafka_payload, write_delimited
 from millrace.sources.external import register_delimited, register_view
 from millrace.sources.kafka import decode_value

@@ -7,20 +7,19 @@ from millrace.operators.patterns import Pattern
 from millrace.queries.patterns import kind
 from millrace.queries.registry import ORACLES, ORDER, query
 from millrace.queries.streams import order_feeds, plain_times
-from millrace.queries.watermarks import delivered
-from millrace.streaming.patterns import match_or_timeout_stream, match_stream
-from millrace.streaming.replay import replayed
+from millrace.queries.watermarks import deliver
+from millrace.sinks.batches import read_batches
+from millrace.streaming.patterns import match_batches
+from millrace.streaming.replay import replay
 
 COLUMNS = ("event_id", "user_id", "event_type", "ts")
 
 
 def find(spark, folder, pattern, delay="24 hours", **names):
-    def build(feed, end):
-        rows = end.follow(feed()).withWatermark("ts", delay)
-        out = match_stream(rows, pattern, ["user_id"], ORDER, ["event_id"])
-        return out.select("user_id", *[F.col(f"{step}_event_id").alias(name) for step, name in names.items()])
-
-    return delivered(spark, folder, build, COLUMNS)
+    writer = lambda path: match_batches(path, pattern, ["user_id"], ORDER, ["event_id"], delay)
+    target = deliver(spark, folder, lambda feed, end: end.follow(feed()), COLUMNS, writer)
+    out = read_batches(spark, f"{target}/out")
+    return out.select("user_id", *[F.col(f"{step}_event_id").alias(name) for step, name in names.items()])
 
 
 @query("stream_cep_next", ORACLES["cep_next"])
@@ -64,7 +63,8 @@ def stream_cep_order_timeout(spark, folder):
     def build(end):
         create, pay = order_feeds(spark, folder)
         both = create.withColumn("event_type", F.lit("create")).unionByName(pay.withColumn("event_type", F.lit("pay")))
-        rows = end.follow(both.withColumnRenamed("order_key", "order_id")).withWatermark("ts", "0 seconds")
-        return match_or_timeout_stream(rows, pattern, ["order_id"], ["ts", "event_type"], [])
+        return end.follow(both.withColumnRenamed("order_key", "order_id"))
 
-    return plain_times(replayed(spark, "order-pattern", build), "create_ts", "pay_ts", "deadline")
+    writer = lambda path: match_batches(path, pattern, ["order_id"], ["ts", "event_type"], [], "0 seconds", timeouts=True)
+    out = read_batches(spark, f"{replay(spark, 'order-pattern', build, writer=writer)}/out").drop("batch")
+    return plain_times(out, "create_ts", "pay_ts", "deadline")

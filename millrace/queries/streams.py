@@ -18,7 +18,8 @@ from millrace.queries.state import SQL_DAILY, SQL_LAST_VALUE, SQL_OUTCOME, SQL_R
 from millrace.queries.topn import SQL_HOT_ITEMS
 from millrace.queries.windows import SQL_ALL, SQL_COUNT_TUMBLE, SQL_PV, SQL_SESSION, SQL_SLIDE, SQL_TUMBLE, SQL_UV
 from millrace.schemas import EVENTS
-from millrace.sinks.batches import latest_per_key, parquet_batches, read_batches, read_upserts, split_batches, upsert_batches
+from millrace.sinks.batches import latest_per_key, parquet_batches, read_batches, split_batches
+from millrace.sinks.upserts import read_upserts, upsert_batches
 from millrace.sources.tables import stream_table
 from millrace.sources.text import stream_lines
 from millrace.streaming.jobs import rule_batches, top_n_batches, watermarked_pairs

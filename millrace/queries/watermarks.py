@@ -16,16 +16,21 @@ from millrace.operators.routing import union_all
 from millrace.operators.windows import tumble
 from millrace.plans.staging import fresh_dir
 from millrace.queries.registry import events, query, row_count
-from millrace.sinks.batches import parquet_batches, read_batches
+from millrace.sinks.batches import BatchWriter, parquet_batches, read_batches
 from millrace.sources.tables import stream_table
 from millrace.streaming.replay import EndMarker, drain
 
 PARTS = 4
 HOUR_US = 3_600_000_000
 
-SQL_PARTS = f"""e as (select event_type, ts, epoch_us(ts) + event_id % 24 * {HOUR_US} as came from events),
+def sql_parts(columns: str = "event_type, ts", parts: int = PARTS, late_us: int = HOUR_US) -> str:
+    """Table `p`: the events and the delivery each one comes in."""
+    return f"""e as (select {columns}, epoch_us(ts) + event_id % 24 * {late_us} as came from events),
     b as (select min(came) as lo, max(came) as hi from e),
-    p as (select event_type, ts, (came - lo) * {PARTS} // (hi - lo + 1) as part from e, b)"""
+    p as (select {columns}, (came - lo) * {parts} // (hi - lo + 1) as part from e, b)"""
+
+
+SQL_PARTS = sql_parts()
 
 
 def sql_survivors(types: str, top: str) -> str:
@@ -42,29 +47,42 @@ def latest(kind: str, delay: str) -> str:
     return f"max(ts) filter (where event_type = '{kind}') - interval {delay}"
 
 
-def delivered(
+Build = Callable[[Callable[[], DataFrame], EndMarker], DataFrame]
+
+
+def deliver(
     spark: SparkSession,
     folder: str,
-    build: Callable[[Callable[[], DataFrame], EndMarker], DataFrame],
+    build: Build,
     columns: tuple[str, ...] = ("event_type", "ts"),
-) -> DataFrame:
-    """Run the job that `build` makes over all deliveries and the end marker, from one checkpoint."""
+    writer: Callable[[str], BatchWriter] = parquet_batches,
+    parts: int = PARTS,
+    late_us: int = HOUR_US,
+    mode: str = "append",
+) -> str:
+    """Run the job that `build` makes over all deliveries and the end marker, from one checkpoint; gives the folder that
+    `writer` filled.  Events come up to 23 times `late_us` after their event time."""
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    rows = events(spark, folder).select(*columns, (us + F.col("event_id") % 24 * HOUR_US).alias("came"))
+    rows = events(spark, folder).select(*columns, (us + F.col("event_id") % 24 * late_us).alias("came"))
     lo, hi = rows.agg(F.min("came"), F.max("came")).first()
     target = fresh_dir(spark, "deliveries")
     marker = EndMarker(spark, f"{target}/end")
-    part = F.expr(f"(came - {lo}) * {PARTS} div ({hi} - {lo} + 1)") if lo is not None else F.lit(0)
+    part = F.expr(f"(came - {lo}) * {parts} div ({hi} - {lo} + 1)") if lo is not None else F.lit(0)
     rows = rows.withColumn("part", part).withColumn("ts", F.col("ts").cast("timestamp"))
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
     # No bound on the files of a micro-batch: what is late depends on where a delivery ends.
     feed = lambda: stream_table(spark, f"{target}/in", schema)
-    for k in range(PARTS):
+    for k in range(parts):
         rows.where(F.col("part") == k).select(*columns).write.mode("append").parquet(f"{target}/in")
-        drain(build(feed, marker), parquet_batches(f"{target}/out"), f"{target}/checkpoint")
+        drain(build(feed, marker), writer(f"{target}/out"), f"{target}/checkpoint", mode)
     marker.set()
-    drain(build(feed, marker), parquet_batches(f"{target}/out"), f"{target}/checkpoint")
-    return read_batches(spark, f"{target}/out").drop("batch")
+    drain(build(feed, marker), writer(f"{target}/out"), f"{target}/checkpoint", mode)
+    return f"{target}/out"
+
+
+def delivered(spark: SparkSession, folder: str, build: Build, columns: tuple[str, ...] = ("event_type", "ts")) -> DataFrame:
+    """What the job wrote over all deliveries."""
+    return read_batches(spark, deliver(spark, folder, build, columns)).drop("batch")
 
 
 def delivered_windows(spark: SparkSession, folder: str, build) -> DataFrame:

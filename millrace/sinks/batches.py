@@ -29,18 +29,6 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str], fields: lis
     return df.groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.*")
 
 
-def upsert_batches(path: str, keys: list[str], order: list[str], fields: list[str]) -> BatchWriter:
-    """Keyed store: each batch adds its own latest rows, and `read_upserts` resolves them per key."""
-    carried = list(dict.fromkeys([*order, *fields]))
-    return parquet_batches(path, lambda batch: latest_per_key(batch, keys, order, carried))
-
-
-def read_upserts(
-    spark: SparkSession, path: str, keys: list[str], order: list[str], fields: list[str]
-) -> DataFrame:
-    return latest_per_key(read_batches(spark, path), keys, order, fields)
-
-
 def split_batches(path: str, routes: dict[str, Callable[[DataFrame], DataFrame]]) -> BatchWriter:
     """Several outputs from one pass over a micro-batch, which is cached so the input is read once."""
 

@@ -25,6 +25,12 @@ def run_processor(df: DataFrame, keys: list[str], processor: StatefulProcessor,
     return timed.groupBy(*keys).transformWithStateInPandas(processor, schema, "Append", "EventTime")
 
 
+def run_clock_processor(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: str) -> DataFrame:
+    """The same with timers on processing time, which need no watermark."""
+    timed = df.withColumn("us", F.unix_micros("ts"))
+    return timed.groupBy(*keys).transformWithStateInPandas(processor, schema, "Append", "ProcessingTime")
+
+
 def run_row_processor(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: str) -> DataFrame:
     """The same for processors of single rows: cheaper where keys have a handful of rows each."""
     timed = df.withColumn("us", F.unix_micros("ts"))
@@ -194,6 +200,45 @@ class Inactivity(Processor):
         yield self._alerts(key, [last])
 
 
+class Unanswered(StatefulProcessor):
+    """An alert for a row that meets `asks` and is the last of its key, unless the key has another row within `wait_ms`
+    of processing time: such a row sets a timer, every row of a later batch deletes it.
+
+    A batch's rows come before the timers that are due in it, so a timer fires in the first batch that starts after it
+    is due and has no row for its key.
+    """
+
+    schema = "user_id long, event_id long"
+
+    def __init__(self, column: str, asks: str, wait_ms: int):
+        self.column, self.asks, self.wait_ms = column, asks, wait_ms
+
+    def init(self, handle):
+        self.handle = handle
+        self.open = handle.getValueState("open", "event_id long, due_ms long")
+
+    def handleInputRows(self, key, rows, timerValues):
+        df = in_order(rows)
+        if is_marker(key):
+            return
+        if self.open.exists():
+            self.handle.deleteTimer(self.open.get()[1])
+            self.open.clear()
+        if df[self.column].iloc[-1] == self.asks:
+            due = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms
+            self.handle.registerTimer(due)
+            self.open.update((int(df.event_id.iloc[-1]), due))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        event_id = self.open.get()[0]
+        self.open.clear()
+        yield pd.DataFrame({"user_id": [key[0]], "event_id": [event_id]})
+
+    def close(self):
+        pass
+
+
 class RiseTimer(Processor):
     """Alert when a value keeps rising for `hold_us`; see `operators.alerts.rise_alerts` for the rules."""
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from millrace.plans.staging import fresh_dir
 from millrace.sinks.batches import BatchWriter, parquet_batches, read_batches
+from millrace.streaming.carried import END_OF_TIME
 
-END_OF_TIME = "2200-01-01 00:00:00"
 _SCHEMA = "end timestamp"
 
 
