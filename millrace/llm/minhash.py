@@ -8,18 +8,25 @@
    4.5 standard errors below the threshold are passed over.
 4. The pairs that are left are confirmed on the full shingle sets, and links are joined to components.
 
-No step writes out the pairs of a group.  First each class is confirmed against the one bucket leader that looks most
-like it, which joins most copies of a text.  Then, in buckets that still hold several components, the classes outside
-the largest one are compared with the bucket in blocks of bounded size.  A block gives a spanning forest of the pairs
-with a sufficient estimate, at most a row per class; the forests join classes to clusters, and every such pair lies
-inside one cluster.  Last, clusters are walked in blocks again, now with the full sets: a pair is confirmed unless the
-links found so far already connect it, and only links that connect something new are written.  So no link between
-different components is lost, links inside one are not needed, and what is written stays in proportion to the classes.
+First each class is confirmed against the one bucket leader that looks most like it, which joins most copies of a text.
+Then, in buckets that still hold several components, the classes outside the largest one are compared with the bucket in
+blocks of bounded size.  A block gives a spanning forest of the pairs with a sufficient estimate, at most a row per
+class; the forests join classes to clusters, and every such pair lies inside one cluster.  Last, clusters are walked in
+blocks again, now with the full sets: a pair is confirmed unless the links found so far already connect it, and only
+links that connect something new are written.
+
+Blocks are dealt only while one block holds the classes outside the largest component, which is at most twice the rows
+of a group.  Buckets and clusters with more such classes would need blocks against blocks, so their classes are dealt
+to lists by their rarest shingles instead (`prefix_lists`), in which every pair at the threshold meets, and classes
+that only share a common passage do not.  Only a list that is itself that large, of classes whose rarest shingles are
+the same and which still are no copies of each other, is dealt in blocks against blocks.  So no link between different
+components is lost, and links inside one are not needed.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -162,21 +169,26 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataF
     return rows.join(known, node, "left").withColumn(name, F.coalesce("_label", node)).drop("_label")
 
 
-def _cells(rows: DataFrame, block: int) -> DataFrame:
-    """Deal the rows (group, node, label) of groups with several labels to cells of at most about 2 * `block` nodes.
-
-    Nodes outside the group's largest label ask, all its nodes are asked, and each asking slice meets each asked slice
-    in one cell.  A group of one label has no cell.
-    """
+def _mixed(rows: DataFrame, block: int) -> DataFrame:
+    """Groups of the rows (group, node, label) that hold several labels: their largest label `main`, the slices `qs` of
+    the nodes outside it and `ms` of all nodes, each of about `block` nodes."""
     counted = rows.groupBy("group", "label").agg(F.count("*").alias("n"))
     mixed = counted.groupBy("group").agg(
         F.count("*").alias("labels"), F.sum("n").alias("all"), F.max("n").alias("most"),
         F.max_by("label", F.struct("n", -F.col("label"))).alias("main"),
     ).where("labels > 1")
-    mixed = mixed.select(
+    return mixed.select(
         "group", "main", F.ceil((F.col("all") - F.col("most")) / block).cast("int").alias("qs"),
         F.ceil(F.col("all") / block).cast("int").alias("ms"),
     )
+
+
+def _cells(rows: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Deal the rows (group, node, label) of `mixed` groups to cells of at most about two slices.
+
+    Nodes outside the group's largest label ask, all its nodes are asked, and each asking slice meets each asked slice
+    in one cell.  With one asking slice that is at most twice the rows of the group.
+    """
     rows = rows.join(mixed, "group")
     asking = rows.where("label != main").select(
         "group", "node", "label", "main", F.lit(0).alias("role"), F.pmod(F.xxhash64("node"), "qs").cast("int").alias("q"),
@@ -189,6 +201,38 @@ def _cells(rows: DataFrame, block: int) -> DataFrame:
     return asking.unionByName(asked)
 
 
+def _crowd(rows: DataFrame, mixed: DataFrame) -> DataFrame:
+    """Nodes of groups whose asking side needs several slices, where slices against slices would be quadratic."""
+    return rows.join(mixed.where("qs > 1").select("group"), "group").select("node")
+
+
+def prefix_lists(sets: DataFrame, percent: int) -> DataFrame:
+    """Rows (group, node): the nodes that have a shingle among their rarest ones, for shingles that several nodes have.
+
+    Two sets of a and b shingles with 100 * intersection >= percent * union share at least ceil(percent * a / 100) of
+    a's.  So in one order of all shingles, here from rare to frequent, the first one they share is among the first
+    a - ceil(percent * a / 100) + 1 of a, and likewise for b: every link meets in a list.  A passage that all nodes have
+    comes last in the order and heads no list unless it is most of its texts.
+    """
+
+    def spread(batches):
+        for batch in batches:
+            for at in range(batch.num_rows):
+                own = np.frombuffer(batch.column("shingles")[at].as_py(), np.int64)
+                node = np.full(len(own), batch.column("node")[at].as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(own)], names=["node", "shingle"])
+
+    tokens = sets.mapInArrow(spread, "node long, shingle long")
+    often = tokens.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1")
+    sizes = sets.select("node", F.expr("octet_length(shingles) div 8").cast("int").alias("size"))
+    sizes = sizes.withColumn("first", F.expr(f"size - cast(({percent}L * size + 99) div 100 as int) + 1"))
+    # A node's own shingles only; those that no other node has come first in the order.
+    shared = tokens.join(often, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("shared"))
+    rows = shared.join(sizes, "node")
+    left = F.greatest(F.col("first") - (F.col("size") - F.size("shared")), F.lit(0))
+    return rows.select("node", F.explode(F.slice("shared", F.lit(1), left)).alias("at")).select(F.col("at.shingle").alias("group"), "node")
+
+
 def _walk(cells: DataFrame, hashes: int, floor: float, percent: int | None = None) -> DataFrame:
     """A spanning forest (a, b) of each cell over pairs of different labels whose estimate reaches `floor` and, with
     `percent`, whose full sets are a link."""
@@ -290,8 +334,9 @@ def near_duplicates(
     labels = components(links)
 
     # Buckets that still hold several components, by signature, to clusters.
-    held = _labelled(members.select("bucket", "node"), labels, "node", "label")
-    cells = _cells(held.withColumnRenamed("bucket", "group"), SKETCH_BLOCK)
+    held = _labelled(members.select(F.col("bucket").alias("group"), "node"), labels, "node", "label")
+    mixed = finish(_mixed(held, SKETCH_BLOCK), "mixed")
+    cells = _cells(held, mixed.where("qs = 1"))
     near = finish(_walk(cells.join(sigs.select("node", "sig"), "node"), hashes, floor), "near")
     clusters = components(near.unionByName(links))
 
@@ -299,10 +344,22 @@ def near_duplicates(
     known = _labelled(clusters.select("node", F.col("label").alias("group")).unionByName(
         clusters.select(F.col("label").alias("node"), F.col("label").alias("group")).distinct()
     ), labels, "node", "label")
-    cells = _cells(known, SET_BLOCK).join(sigs.select("node", "sig"), "node").join(sets, "node")
-    found = finish(_walk(cells, hashes, floor, percent), "links")
-    if found.limit(1).count():
-        labels = components(links.unionByName(found))
+    tight = finish(_mixed(known, SET_BLOCK), "mixed")
+
+    def confirmed(cells: DataFrame) -> DataFrame:
+        full = cells.join(sigs.select("node", "sig"), "node").join(sets, "node")
+        return finish(_walk(full, hashes, floor, percent), "links")
+
+    found = [confirmed(_cells(known, tight.where("qs = 1")))]
+
+    # Buckets and clusters with many components outside their largest one, by lists of rare shingles.
+    crowd = finish(_crowd(held, mixed).unionByName(_crowd(known, tight)).distinct(), "crowd")
+    if crowd.limit(1).count():
+        lists = finish(_labelled(prefix_lists(sets.join(crowd, "node", "left_semi"), percent), labels, "node", "label"), "lists")
+        found.append(confirmed(_cells(lists, _mixed(lists, SET_BLOCK))))
+    more = reduce(DataFrame.unionByName, found)
+    if more.limit(1).count():
+        labels = components(links.unionByName(more))
 
     named = _labelled(classes.select("node", "class"), labels, "node", "component_id").select("class", "component_id")
     rows = signed.select("doc_id", "n_shingles", "class").join(named, "class", "left")

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from conftest import SF_SMALL
 
+from millrace.llm import minhash
 from millrace.llm.components import components
 from millrace.llm.minhash import BITS, HASHES, estimate_floor, near_duplicates, shingle_hashes, signatures
 from millrace.llm.recompression import anchors, remove_repeats, rounds
@@ -135,3 +136,48 @@ def test_real_rows(spark, operator, check):
     docs = spark.read.parquet(SF_SMALL + "/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
     assert {r[0]: tuple(r[1:]) for r in operator(docs).collect()} == check(rows)
+
+
+@pytest.mark.parametrize("blocks", [(4, 4), (1, 1), (2, 512)])
+def test_crowded_groups_lose_no_link(spark, monkeypatch, blocks):
+    """With tiny blocks nearly every group goes through the lists of rare shingles."""
+    monkeypatch.setattr(minhash, "SKETCH_BLOCK", blocks[0])
+    monkeypatch.setattr(minhash, "SET_BLOCK", blocks[1])
+    docs = collection(21, groups=5, copies=16, length=50)
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_duplicates(frame(spark, docs)).collect()}
+    assert got == brute.near(docs)
+
+
+def test_links_meet_in_lists_of_rare_shingles(spark):
+    """Every pair at the threshold shares a list, whatever the sizes of the sets."""
+    rng = random.Random(6)
+    base = [rng.randrange(10**12) for _ in range(120)]
+    sets = {}
+    for node in range(60):
+        own = rng.sample(base, rng.randrange(90, 121)) + [rng.randrange(10**12) for _ in range(rng.randrange(12))]
+        sets[node] = set(own)
+    sets |= {60: {1, 2, 3}, 61: {1, 2, 3}, 62: {5}, 63: {5}, 64: set(range(20)), 65: set(range(17)), 66: set(range(16))}
+    rows = [(n, np.sort(np.array(list(s), np.uint64)).tobytes()) for n, s in sets.items()]
+    lists = {}
+    for r in minhash.prefix_lists(spark.createDataFrame(rows, "node long, shingles binary"), 85).collect():
+        lists.setdefault(r.group, set()).add(r.node)
+    met = {(a, b) for nodes in lists.values() for a in nodes for b in nodes if a < b}
+    linked = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])}
+    assert linked and linked <= met and (64, 65) in linked and (64, 66) not in linked
+
+
+def test_candidates_grow_with_the_classes(spark, monkeypatch):
+    """Classes that share a passage and nothing else: blocks against blocks would be four times the rows for twice the
+    classes; the lists that are made instead hold none of them."""
+    monkeypatch.setattr(minhash, "SKETCH_BLOCK", 16)
+    monkeypatch.setattr(minhash, "SET_BLOCK", 8)
+    made, walk = [], minhash._walk
+    monkeypatch.setattr(minhash, "_walk", lambda cells, *a: (made[-1].append(cells.count()), walk(cells, *a))[1])
+    rng = random.Random(8)
+    passage = " ".join(f"p{i}" for i in range(60))
+    for n in (200, 400):
+        made.append([])
+        docs = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(14)) + " " + passage) for i in range(n)]
+        rows = near_duplicates(frame(spark, docs)).collect()
+        assert all(r.kept for r in rows)
+    assert sum(made[1]) <= 2.5 * sum(made[0]) + 100 and sum(made[1]) < 5 * 400
