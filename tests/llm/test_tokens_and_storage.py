@@ -37,6 +37,45 @@ def test_word_ids_equal_the_library():
         assert words.text_ids(text.encode()) == b"".join(i.to_bytes(4, "little") for i in want), text
 
 
+def test_word_ids_in_a_small_memo_equal_the_library():
+    """Generations that hold a few words, mixed case, marks, special strings, long words, other alphabets."""
+    from tokenizers import Tokenizer
+
+    words = word_bpe.WordIds(word_bpe.default_path(), 4_000, 2_000)
+    whole = Tokenizer.from_file(word_bpe.default_path())
+    rng = random.Random(3)
+    some = ["The", "the.", "THE,", "don't", "DON'T", "a'S", "<|endoftext|>", "<|ENDOFTEXT|>", "x<|startoftext|>y", "<", "Über", "naïve?", "ǅ", "İi", "ΑΣ",
+            "日本語", "e\u0301a", "A\u030a", "x" * 300, "1a2", "..", "a..", "don't.", "ß", "\u2028", "a\xa0b", "\x1c", "\x85z"]
+    for _ in range(400):
+        text = rng.choice([" ", "\n", "\t "]).join(rng.choice(some) for _ in range(rng.randrange(12)))
+        want = whole.encode(text, add_special_tokens=False).ids
+        assert words.text_ids(text.encode()) == b"".join(i.to_bytes(4, "little") for i in want), repr(text)
+    assert words.words.bytes <= 4_000 and words.parts.bytes <= 2_000
+    assert max(map(len, [*words.words, *words.words.older])) <= word_bpe.KEEP_BYTES
+
+
+@pytest.mark.parametrize("change", ["pattern", "case", "none"])
+def test_tokenizer_files_that_words_cannot_follow_use_the_library(tmp_path, change):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(word_bpe.default_path(), encoding="utf-8") as file:
+        spec = json.load(file)
+    if change == "pattern":  # parts may hold white space
+        spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"\s?[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+    elif change == "case":
+        spec["normalizer"]["normalizers"].pop()
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(spec, file)
+    words, whole = word_bpe.WordIds(path), Tokenizer.from_file(path)
+    assert (words.rules is None) == (change != "none")
+    for text in ODD + texts(40):
+        want = whole.encode(text, add_special_tokens=False).ids
+        assert words.text_ids(text.encode()) == b"".join(i.to_bytes(4, "little") for i in want)
+
+
 def test_counts_equal_the_library(spark):
     model = token_counts.load_model(token_counts.default_path())
     assert token_counts.provable(model)
