@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.plans.staging import staged
 
 BEFORE, OWN, AFTER = -1, 0, 1
 
@@ -42,6 +43,9 @@ def ranged(
     names = list(key)
     only = rows.select(F.struct(*[key[c].alias(c) for c in names]).alias("k"))
     dealt = only.repartitionByRange(n, "k").withColumn("p", F.spark_partition_id())
+    if alike:
+        # Borders come from a sample, which another run of this plan would draw anew; the keys are read twice.
+        dealt = staged(dealt, "ranges")
     ends = dealt.groupBy("p").agg(F.min("k").alias("least"), F.max("k").alias("most")).orderBy("p").collect()
     marked = rows.withColumns(key)
     if not ends:
@@ -70,8 +74,6 @@ def ranged(
     return dealt.sortWithinPartitions("_range", "_side", *names)
 
 
-
-
 def _beyond(dealt: DataFrame, ends: list, fields, alike: tuple[str, ...], home: Column, k: Column) -> list[Column]:
     """Places of the rows that end a stretch of alike rows in other ranges than it began (two rows per range at most)."""
     def same(a, b):

@@ -2,7 +2,9 @@
 
 import hashlib
 import math
+import os
 import re
+from html.parser import HTMLParser
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -166,3 +168,93 @@ def hard_negatives(rows, positives=5, negatives=3):
             near = [(n, -t) for t, n, other in scored if other != label and 50 * -s <= 100 * -t <= 95 * -s]
             out += [(a, b, i + 1, n, -s, t) for i, (n, t) in enumerate(near[:negatives])]
     return sorted(out)
+
+
+class _Lines(HTMLParser):
+    """Lines of a well-formed page with their kinds (1 article, 0 open, -1 noise), by the standard library's parser."""
+
+    BLOCKS = {"p", "div", "article", "main", "nav", "footer", "header", "section", "ul", "li", "h1", "h2", "form", "aside", "table", "tr", "td", "body", "html"}
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.lines, self.text, self.stack, self.hidden = [], [], [0], 0
+
+    def flush(self):
+        line = re.sub(r"\s+", " ", "".join(self.text)).strip()
+        self.text = []
+        if line:
+            self.lines.append((line, self.stack[-1]))
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("script", "style", "title"):
+            self.hidden += 1
+        elif tag == "br":
+            self.text.append(" ")
+        elif tag in self.BLOCKS:
+            self.flush()
+            kind, names = self.stack[-1], set((dict(attrs).get("class") or "").split())
+            if kind >= 0:
+                if tag in ("nav", "footer", "form", "aside") or names & {"ad", "comments", "comment-list", "ad-slot"} or tag == "header" and kind < 1:
+                    kind = -1
+                elif tag in ("article", "main"):
+                    kind = 1
+            self.stack.append(kind)
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style", "title"):
+            self.hidden -= 1
+        elif tag in self.BLOCKS:
+            self.flush()
+            self.stack.pop()
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.text.append(data)
+
+
+def _common(a, b):
+    """Positions in `a` of one longest common subsequence, by the full table; equal ends first."""
+    n = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a) - 1, -1, -1):
+        for j in range(len(b) - 1, -1, -1):
+            n[i][j] = n[i + 1][j + 1] + 1 if a[i] == b[j] else max(n[i + 1][j], n[i][j + 1])
+    out, i, j = set(), 0, 0
+    while i < len(a) and j < len(b):
+        if a[i] == b[j]:
+            out.add(i)
+            i, j = i + 1, j + 1
+        elif n[i + 1][j] >= n[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
+def main_texts(pages):
+    """page_id to text, from rows of (page_id, url, html) with distinct pages and lines that repeat on no page."""
+    rows = []
+    for page_id, url, page in pages:
+        host, path = re.match(r"https?://([^/]*)(.*)", url).groups()
+        parser = _Lines()
+        parser.feed(page or "")
+        parser.close()
+        parser.flush()
+        rows.append((host.lower(), path, page_id, parser.lines))
+    rows.sort(key=lambda r: r[:3])
+    out = {}
+    for k, (host, path, page_id, lines) in enumerate(rows):
+        near = []
+        for place, o in enumerate((k - 1, k + 1)):
+            if 0 <= o < len(rows) and rows[o][0] == host:
+                near.append((-len(os.path.commonprefix([path, rows[o][1]])), place, rows[o][3]))
+        gone, copy = set(), False
+        for _, _, other in sorted(near, key=lambda x: x[:2]):
+            both = _common([t for t, _ in lines], [t for t, _ in other])
+            mine, yours = sum(len(t) for t, kind in lines if kind == 0), sum(len(t) for t, kind in other if kind >= 0)
+            same = sum(len(lines[i][0]) for i in both if lines[i][1] == 0)
+            copy = 10 * same >= 9 * min(mine, yours) and 2 * same >= max(mine, yours) > 0
+            if not copy:
+                gone = both
+                break
+        out[page_id] = "\n".join(t for i, (t, kind) in enumerate(lines) if kind == 1 or kind == 0 and i not in gone)
+    return out

@@ -1,10 +1,12 @@
 import hashlib
 import random
+import time
 
 import brute
 import numpy as np
 import pytest
 from conftest import SF_SMALL
+from pyspark.sql import functions as F
 
 from millrace.llm import html_text, winnowing
 from millrace.llm.neighbours import ranged
@@ -141,6 +143,105 @@ def test_shared_lines_are_a_longest_common_subsequence():
         assert all(a[i] in rest for i in found)
 
 
+@pytest.mark.parametrize("stored, pairs", [(4, 0), (64, 0), (16_000_000, 10**6), (4, 10)])
+def test_every_way_of_aligning_gives_a_longest_common_subsequence(monkeypatch, stored, pairs):
+    monkeypatch.setattr(html_text, "STORED_BITS", stored)
+    monkeypatch.setattr(html_text, "MOST_PAIRS", pairs)
+    rng = random.Random(4)
+    for _ in range(600):
+        letters = "abcdefgh"[: rng.randrange(1, 9)]
+        a, b = ([rng.choice(letters) for _ in range(rng.randrange(16))] for _ in range(2))
+        found, rest = sorted(html_text.shared(a, b)), iter(b)
+        assert len(found) == brute.lcs(a, b) and all(a[i] in rest for i in found)
+
+
+@pytest.mark.parametrize("kinds", [3, 600, 10**9])
+def test_pages_of_very_many_lines_align_in_seconds(kinds):
+    rng = random.Random(kinds)
+    a, b = ([str(rng.randrange(kinds)) for _ in range(200_000)] for _ in range(2))
+    if kinds > 10**6:
+        b = a[:100_000] + b[:10] + a[100_000:]
+    began = time.process_time()
+    found = html_text.shared(a, b)
+    assert time.process_time() - began < 60
+    assert kinds < 10**6 or len(found) == 200_000
+
+
+@pytest.mark.parametrize("piece", ["<p '", '<p title="abc>x ', "<", "<!--", "<a b=c ", "<script>", "<p a='x\">", "</", "<p x ", "<!", '<p a="', "<svg "])
+def test_broken_markup_takes_linear_time(piece):
+    began = time.process_time()
+    html_text.page_lines(piece * (2_000_000 // len(piece)))
+    assert time.process_time() - began < 30
+
+
+def test_broken_tags_lose_no_text():
+    cases = {
+        '<p title="abc>Hello world</p>': ["Hello world"], "<a href=x'>link</a> here isn't": ["link here isn't"],
+        '<p title="a>b">x</p>': ["x"], "<p a=b'c d>y": ["y"], "<div class=x/>z</div>": ["z"], "1 < 2 <b>ok": ["1 < 2 ok"],
+        "<p": [], "x <a href='": ["x"], "<p =a>q": ["q"], "<p a = 'b' c>r<!-- s --> t": ["r t"], "<P\nA\n=\n\"1\">u</P >v": ["u", "v"],
+        "a<br/>b<br / >c": ["a b c"],
+    }
+    for page, want in cases.items():
+        assert html_text.page_lines(page)[0] == want, page
+
+
+def test_compound_names_inside_an_article_are_noise():
+    noise = ["comment-list", "reader-comments", "ad-slot", "sidebar-left", "cookie-notice", "comments-section", "share-buttons", "newsletter-signup"]
+    page = "<article><p>Stay</p>" + "".join(f'<div class="x {n}"><p>{n}</p></div>' for n in noise) + '<section id="comments">c</section>'
+    page += '<div class="commentary">Essay</div><section id="social-impact">Impact</section><h2 id="comments">Title</h2></article>'
+    lines, kinds = html_text.page_lines(page)
+    assert [t for t, k in zip(lines, kinds) if k == html_text.KEEP] == ["Stay", "Essay", "Impact", "Title"]
+
+
+def test_a_form_around_the_page_is_a_wrapper():
+    page = "<body><form><nav>Menu</nav><article><p>The whole text of the page</p></article></form><p>Foot</p></body>"
+    assert html_text.page_lines(page) == (["Menu", "The whole text of the page", "Foot"], [-1, 1, 0])
+    assert html_text.page_lines("<form>Your name</form><p>A longer text of the page</p>")[1] == [-1, 0]
+
+
+def test_main_texts_match_brute_force(spark):
+    """Random sites: pages with and without articles, shared menus, forms, adverts, copies under another URL."""
+    rng = random.Random(11)
+    rows, n = [], 0
+    for site in range(6):
+        menu = [f"Menu {site} {i}" for i in range(rng.randrange(5))]
+        for _ in range(rng.randrange(1, 12)):
+            own = [f"Text {n} {i} " + "word " * rng.randrange(9) for i in range(rng.randrange(6))]
+            body = "".join((lambda tag: f"<{tag}>{t} &amp; <b>more</b><br>end</{tag}>")(rng.choice(("p", "div", "h2"))) for t in own)
+            body = f"<article>{body}<div class='comment-list'>Me {n}</div></article>" if rng.random() < 0.4 else body
+            top = "".join(f"<div>{t}</div>" for t in menu)
+            page = f"<html><head><title>T</title></head><body>{top}<nav>N</nav>{body}<div class='ad'>Buy {n}</div><form>Your mail {n}</form><script>x<1</script></body></html>"
+            rows.append((n, f"http://site{site}.example/{rng.choice('abc')}/{rng.randrange(50)}/{n}", page))
+            n += 1
+            if rng.random() < 0.2:
+                rows.append((n, rows[-1][1] + "?print", page.replace("Buy", "Get")))
+                n += 1
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in html_text.main_texts(frame).collect()}
+    assert got == brute.main_texts(rows)
+
+
+def test_borders_of_ranges_are_drawn_once(spark):
+    """With more keys than the sampler takes, two runs of a range partitioning differ; rows behind stretches must not."""
+    n = 400_000
+    rows = spark.range(n).selectExpr("id", "id div 50000 as t", "xxhash64(id) as h").repartition(6, "h")
+    marked = ranged(rows, {"a": rows["t"], "b": rows["id"]}, partitions=16, before=True, alike=("a",))
+    counts = {(r._range, r._side): (r.n, r.lo, r.hi) for r in marked.groupBy("_range", "_side").agg(
+        F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi")).collect()}
+    own = sorted((lo, hi) for (_, side), (_, lo, hi) in counts.items() if side == 0)
+    assert sum(counts[k][0] for k in counts if k[1] == 0) == n and len(own) > 8
+    for (number, side), (_, lo, hi) in counts.items():
+        if side:
+            first, last = counts[number, 0][1:]
+            edge = last if side > 0 else first
+            want = {edge + side}
+            stretch = edge + side
+            while 0 <= stretch < n and stretch // 50_000 == edge // 50_000:
+                stretch = (edge // 50_000 + 1) * 50_000 if side > 0 else edge // 50_000 * 50_000 - 1
+            want |= {stretch}
+            assert {lo, hi} <= want | {x for x in want} and (stretch >= n or stretch < 0 or {lo, hi} & {stretch} or edge // 50_000 != (edge + side) // 50_000)
+
+
 def test_differencing_without_markup(spark):
     """Where no element names the article, the neighbour's lines tell."""
     body = "<body><div>Top links</div><div>{}</div><p>{}</p><div>Bottom</div></body>"
