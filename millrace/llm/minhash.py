@@ -41,7 +41,8 @@ SHINGLE = 5
 HASHES, BANDS = 192, 32
 BITS = 4
 PER_LONG = 64 // BITS
-SKETCH_BLOCK, SET_BLOCK = 512, 128
+# Nodes, and bytes of full sets, of a slice of a group: two slices are in one task's memory.
+SKETCH_BLOCK, SET_BLOCK, BLOCK_BYTES = 2048, 1024, 16_000_000
 
 
 def shingle_hashes(texts: list[bytes | None], size: int = SHINGLE):
@@ -169,36 +170,45 @@ def _labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataF
     return rows.join(known, node, "left").withColumn(name, F.coalesce("_label", node)).drop("_label")
 
 
-def _mixed(rows: DataFrame, block: int) -> DataFrame:
+def _mixed(rows: DataFrame, block: int, size: Column | None = None) -> DataFrame:
     """Groups of the rows (group, node, label) that hold several labels: their largest label `main`, the slices `qs` of
-    the nodes outside it and `ms` of all nodes, each of about `block` nodes."""
-    counted = rows.groupBy("group", "label").agg(F.count("*").alias("n"))
+    the nodes outside it and `ms` of all nodes, each of about `block` nodes and, by the `size` of a node, BLOCK_BYTES."""
+    counted = rows.groupBy("group", "label").agg(F.count("*").alias("n"), F.sum(F.lit(0) if size is None else size).cast("long").alias("bytes"))
     mixed = counted.groupBy("group").agg(
-        F.count("*").alias("labels"), F.sum("n").alias("all"), F.max("n").alias("most"),
+        F.count("*").alias("labels"), F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("bytes").alias("bytes"),
+        F.max_by("bytes", F.struct("n", -F.col("label"))).alias("most_bytes"),
         F.max_by("label", F.struct("n", -F.col("label"))).alias("main"),
     ).where("labels > 1")
+    slices = lambda n, of: F.greatest(F.ceil(n / block), F.ceil(of / BLOCK_BYTES)).cast("int")
     return mixed.select(
-        "group", "main", F.ceil((F.col("all") - F.col("most")) / block).cast("int").alias("qs"),
-        F.ceil(F.col("all") / block).cast("int").alias("ms"),
+        "group", "main", slices(F.col("n") - F.col("most"), F.col("bytes") - F.col("most_bytes")).alias("qs"),
+        slices(F.col("n"), F.col("bytes")).alias("ms"),
     )
 
 
+ASKS, ASKED, BOTH = 0, 1, 2
+
+
 def _cells(rows: DataFrame, mixed: DataFrame) -> DataFrame:
     """Deal the rows (group, node, label) of `mixed` groups to cells of at most about two slices.
 
     Nodes outside the group's largest label ask, all its nodes are asked, and each asking slice meets each asked slice
-    in one cell.  With one asking slice that is at most twice the rows of the group.
+    in one cell.  A group of one cell has a row per node; with one asking slice there are at most twice as many.
     """
     rows = rows.join(mixed, "group")
-    asking = rows.where("label != main").select(
-        "group", "node", "label", "main", F.lit(0).alias("role"), F.pmod(F.xxhash64("node"), "qs").cast("int").alias("q"),
+    several = rows.where("ms > 1")
+    one = rows.where("ms = 1").select(
+        "group", "node", "label", "main", F.lit(BOTH).alias("role"), F.lit(0).alias("q"), F.lit(0).alias("m")
+    )
+    asking = several.where("label != main").select(
+        "group", "node", "label", "main", F.lit(ASKS).alias("role"), F.pmod(F.xxhash64("node"), "qs").cast("int").alias("q"),
         F.explode(F.sequence(F.lit(0), F.col("ms") - 1)).alias("m"),
     )
-    asked = rows.select(
-        "group", "node", "label", "main", F.lit(1).alias("role"), F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("q"),
+    asked = several.select(
+        "group", "node", "label", "main", F.lit(ASKED).alias("role"), F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("q"),
         F.pmod(F.xxhash64("node", F.lit(1)), "ms").cast("int").alias("m"),
     )
-    return asking.unionByName(asked)
+    return one.unionByName(asking).unionByName(asked)
 
 
 def _crowd(rows: DataFrame, mixed: DataFrame) -> DataFrame:
@@ -207,7 +217,7 @@ def _crowd(rows: DataFrame, mixed: DataFrame) -> DataFrame:
 
 
 def prefix_lists(sets: DataFrame, percent: int) -> DataFrame:
-    """Rows (group, node): the nodes that have a shingle among their rarest ones, for shingles that several nodes have.
+    """Rows (group, node, size): the nodes (and bytes of their sets) that have a shingle among their rarest ones, for shingles that several nodes have.
 
     Two sets of a and b shingles with 100 * intersection >= percent * union share at least ceil(percent * a / 100) of
     a's.  So in one order of all shingles, here from rare to frequent, the first one they share is among the first
@@ -230,7 +240,8 @@ def prefix_lists(sets: DataFrame, percent: int) -> DataFrame:
     shared = tokens.join(often, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("shared"))
     rows = shared.join(sizes, "node")
     left = F.greatest(F.col("first") - (F.col("size") - F.size("shared")), F.lit(0))
-    return rows.select("node", F.explode(F.slice("shared", F.lit(1), left)).alias("at")).select(F.col("at.shingle").alias("group"), "node")
+    rows = rows.select("node", F.col("size") * 8, F.explode(F.slice("shared", F.lit(1), left)).alias("at"))
+    return rows.toDF("node", "size", "at").select(F.col("at.shingle").alias("group"), "node", "size")
 
 
 def _walk(cells: DataFrame, hashes: int, floor: float, percent: int | None = None) -> DataFrame:
@@ -249,10 +260,10 @@ def _walk(cells: DataFrame, hashes: int, floor: float, percent: int | None = Non
     def forest(cell: dict) -> list[tuple[int, int]]:
         node, label, role = (np.array(cell[c], np.int64) for c in ("node", "label", "role"))
         sig, main = np.array(cell["sig"], np.int64).view(np.uint64), cell["main"][0]
-        asked = np.flatnonzero(role)
+        asked = np.flatnonzero(role != ASKS)
         group = label.copy()  # label of the component as far as this cell has joined it
         out = []
-        for q in np.flatnonzero(role == 0):
+        for q in np.flatnonzero((role == ASKS) | (role == BOTH) & (label != main)):
             at = asked[(group[asked] != group[q]) & ((label[asked] == main) | (node[q] < node[asked]))]
             x = sig[at] ^ sig[q]
             spread = x
@@ -309,7 +320,8 @@ def near_duplicates(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = finish(_sign(texts, size, hashes, bands), "signed")
     classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy("class").agg(
-        F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("node"), F.first("sig").alias("sig"), F.first("bands").alias("bands"),
+        (F.first("n_shingles") * 8).alias("size"),
     )
     classes = finish(classes, "classes")
     sigs = classes.select("node", "class", "sig")
@@ -343,8 +355,8 @@ def near_duplicates(
     # Clusters that hold several components, by full sets.
     known = _labelled(clusters.select("node", F.col("label").alias("group")).unionByName(
         clusters.select(F.col("label").alias("node"), F.col("label").alias("group")).distinct()
-    ), labels, "node", "label")
-    tight = finish(_mixed(known, SET_BLOCK), "mixed")
+    ), labels, "node", "label").join(classes.select("node", "size"), "node")
+    tight = finish(_mixed(known, SET_BLOCK, F.col("size")), "mixed")
 
     def confirmed(cells: DataFrame) -> DataFrame:
         full = cells.join(sigs.select("node", "sig"), "node").join(sets, "node")
@@ -356,7 +368,7 @@ def near_duplicates(
     crowd = finish(_crowd(held, mixed).unionByName(_crowd(known, tight)).distinct(), "crowd")
     if crowd.limit(1).count():
         lists = finish(_labelled(prefix_lists(sets.join(crowd, "node", "left_semi"), percent), labels, "node", "label"), "lists")
-        found.append(confirmed(_cells(lists, _mixed(lists, SET_BLOCK))))
+        found.append(confirmed(_cells(lists, _mixed(lists, SET_BLOCK, F.col("size")))))
     more = reduce(DataFrame.unionByName, found)
     if more.limit(1).count():
         labels = components(links.unionByName(more))
