@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
+_MADE: list[str] = []  # folders of this driver, for `sweep`
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -27,7 +28,16 @@ def shared_root(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has used before."""
-    return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete the folders that this driver has made so far.  For the time when no result that reads them is needed any
+    more, between two jobs of a long session for example."""
+    while _MADE:
+        Folder(spark, _MADE.pop()).delete()
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -55,6 +65,10 @@ class Folder:
     def delete(self) -> None:
         self.store.delete(self.path, True)
 
+    def uri(self) -> str:
+        """The path with the scheme of its store."""
+        return self.store.makeQualified(self.path).toUri().toString()
+
     def touch(self) -> None:
         """An empty file; stores make it visible at once or not at all."""
         self.store.create(self.path, True).close()
