@@ -59,36 +59,44 @@ class DigestIndex:
         equal text) and `kept`.  Of equal texts in the batch the row with the largest id stays; if the digest was
         in the index before, none does and `keep_id` is the id in the index.  Repeated rows with equal id and text
         are all kept or all dropped (`distinct` them before, if one shall go).  A null id is smaller than all
-        others; a group of null ids only has a null `keep_id` and its rows are kept (a later batch does not see it as known).  Empty input gives empty output.
+        others; a group of null ids only has a null `keep_id` and its rows are kept.  Empty input gives empty output.
         """
         digests = rows.select(F.col(id_column).alias("_id"), digest(F.col(text_column)).alias("text_sha256"))
         # Hashing whole texts is the costly part: done once, 72 bytes a row stay.
         digests = staged(digests, "digests-in")
         batch = digests.groupBy("text_sha256").agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size"))
         self.attach()
-        known = self.read().select("text_sha256", F.col("keep_id").alias("_seen_id"))
-        # What the index knew of this batch is written before the index grows.
-        seen = staged(known.join(batch.select("text_sha256"), "text_sha256", "left_semi"), "seen")
-        new = batch.hint("merge").join(known.hint("merge"), "text_sha256", "left_anti")
+        known = self.read().select("text_sha256")
+        # The anti-join decides what is new, for the index and for the result alike; it is written before the index grows.
+        new = staged(batch.hint("merge").join(known.hint("merge"), "text_sha256", "left_anti"), "new")
         (
             new.withColumn("batch", F.lit(uuid.uuid4().hex))
             .repartition(self.buckets, "text_sha256")
             .write.format("parquet").bucketBy(self.buckets, "text_sha256").sortBy("text_sha256")
             .option("path", self.path).mode("append").saveAsTable(self.name)
         )
-        # One row per digest on the right: the adaptive join splits a digest with very many rows on the left.
-        groups = batch.join(seen, "text_sha256", "left")
-        out = digests.join(groups, "text_sha256")
-        kept = F.col("_seen_id").isNull() & F.col("_id").eqNullSafe(F.col("keep_id"))
-        return out.select(
-            F.col("_id").alias(id_column), F.coalesce("_seen_id", "keep_id").alias("keep_id"), "group_size",
-            kept.alias("kept"), "text_sha256",
-        )
+        # The index has every digest of the batch by now, with the id that stays.  One row per digest on the right: the
+        # adaptive join splits a digest with very many rows on the left.
+        stays = batch.select("text_sha256", "group_size").join(self.read().select("text_sha256", "keep_id"), "text_sha256")
+        fresh = new.select("text_sha256", F.lit(True).alias("_new"))
+        out = digests.join(stays.join(fresh, "text_sha256", "left"), "text_sha256")
+        kept = F.col("_new").isNotNull() & F.col("_id").eqNullSafe(F.col("keep_id"))
+        return out.select(F.col("_id").alias(id_column), "keep_id", "group_size", kept.alias("kept"), "text_sha256")
+
+    def drop(self) -> None:
+        """Take the table out of the catalog; its files stay in `path`."""
+        self.spark.sql(f"drop table if exists `{self.name}`")
 
 
 def exact_duplicates(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
-    """Duplicates of a table by itself, through an index (a new one by default)."""
-    return (index or DigestIndex(docs.sparkSession)).add(docs)
+    """Duplicates of a table by itself, through an index (by default a new one, which leaves no table in the catalog)."""
+    if index:
+        return index.add(docs)
+    index = DigestIndex(docs.sparkSession)
+    try:
+        return staged(index.add(docs), "exact")
+    finally:
+        index.drop()
 
 
 ORACLE = """

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import settle
 from millrace.llm.neighbours import OWN, ranged
 
 KEEP, OPEN, DROP, DROP_FORM = 1, 0, -1, -2
@@ -395,6 +396,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
     the next ones.  If all are copies, open lines stay.  Each page moves once, to the range of its host and path, so a
     host with a third of all pages spreads over many tasks; only pages beside a range's ends move again.
     """
+    settle(pages.sparkSession)
     url = F.coalesce(F.col("url"), F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^[a-zA-Z][\w+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(url, r"^(?:[a-zA-Z][\w+.-]*://[^/?#]*)?([^#]*)", 1)

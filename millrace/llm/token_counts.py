@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import raw, worker_memo
+from millrace.llm.common import raw, settle, worker_memo
 
 MEMO_WORDS = 400_000
 LIMIT = 4096
@@ -108,6 +108,7 @@ class Counts(dict):
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """Tokens of every whole text: doc_id, n_bytes, n_tokens, over_limit.  Null and empty texts have none."""
+    settle(docs.sparkSession)
     path = path or default_path()
 
     def run(batches):

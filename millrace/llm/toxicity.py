@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import pieces, raw
+from millrace.llm.common import pieces, raw, settle
 from millrace.llm.wordhash import IS_SPACE, mix, odd, slices, word_hashes
 
 GAP = IS_SPACE.copy()
@@ -92,14 +92,17 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     """Fit on about `max_rows` labelled rows, chosen by a hash of the id; the held-out third takes no part.
 
     Ids without a label, null labels and null ids are left out; an id labelled twice counts as toxic if any label
-    says so.  Without a single label the model is empty and every score is 0.5.
+    says so, and of an id that several documents have the least text is learned.  Without a single label the model is empty and every score is 0.5.
     """
+    settle(docs.sparkSession)
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("_toxic"))
     share = min(1.0, settings.max_rows / max(1, known.count()))
     # Bounded by max_rows (in expectation, as the hash spreads ids evenly): small enough to broadcast.
     chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30)))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # One row per id, so that the bound holds for rows as well.
+    sample = sample.groupBy("doc_id", "_toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "_toxic")
     one = sample.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id", "text")
 
     def train(batches):

@@ -23,8 +23,8 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import finish, raw
-from millrace.plans.staging import fresh_dir
+from millrace.llm.common import finish, raw, settle
+from millrace.plans.staging import Folder, fresh_dir
 
 FILE_BYTES = 16_000_000
 FILE_RECORDS = 10_000
@@ -35,7 +35,8 @@ _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
 def store(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+    """The file system of a path, which `archive_pages` gives with its scheme."""
+    return pafs.FileSystem.from_uri(path) if ":/" in path else (pafs.LocalFileSystem(), path)
 
 
 def record(kind: str, page_id, url: str | None, digest: str, length: int, block: bytes, refers_to=None) -> bytes:
@@ -249,7 +250,9 @@ def archive_pages(spark: SparkSession, pages: DataFrame, folder: str | None = No
     A null page is an empty payload, a null URL is written as `-`.  An empty table gives no archive and no row.  The
     one-stream files go once they are rewritten.
     """
-    folder = folder or fresh_dir(spark, "warc")
+    settle(spark)
+    # With its scheme, so that driver and executors mean the same store.
+    folder = Folder(spark, folder or fresh_dir(spark, "warc")).uri()
     crawled = f"{folder}/crawl"
     manifest = finish(crawl(pages, crawled), "manifest")
     archives = finish(normalise(finish(revisits(manifest), "revisits"), crawled), "archives")

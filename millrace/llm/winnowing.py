@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import settle
 from millrace.llm.neighbours import AFTER, ranged
 from millrace.llm.wordhash import mix, powers
 
@@ -78,6 +79,7 @@ def likeness(a: tuple, b: tuple) -> float:
 
 def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Fingerprint of each text: doc_id, n_chars, fingerprint (see `packed`), hashes, positions."""
+    settle(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -104,6 +106,7 @@ def edited_fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW)
     id; after the last comes the first.  Null texts are empty; a null id sorts first; rows that repeat an id follow in
     order of text.  A table of one row is its own next document.  Texts move once, to the range of their id.
     """
+    settle(docs.sparkSession)
     key = {"_id": F.coalesce(F.col("doc_id"), F.lit(-(2**63))), "_tie": F.xxhash64("text")}
     rows = ranged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), key, wrap=True)
 

@@ -348,6 +348,43 @@ def test_toxicity_learns_and_holds_out(spark):
     assert toxicity(frame.limit(0), marks).count() == 0
 
 
+def test_ids_that_repeat_are_learned_once(spark):
+    """A labelled id with very many documents adds one row to the sample."""
+    docs = [(i, f"clean words {i}" if i % 2 else f"vile rotten {i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(60)], "doc_id long, toxic int")
+    schema = "doc_id long, text string"
+    once = fit(spark.createDataFrame(docs, schema), labels)
+    many = fit(spark.createDataFrame(docs + [(d, t + " zz") for d, t in docs for _ in range(20)] + docs * 3, schema), labels)
+    assert once[0] == many[0] and (once[1] == many[1]).all() and (once[2] == many[2]).all()
+
+
+def test_general_functions_run_on_a_plain_session(tmp_path):
+    """Workers that cannot import the package: its code goes with the tasks."""
+    import pathlib
+    import subprocess
+    import sys
+
+    root = pathlib.Path(html_text.__file__).resolve().parents[2]
+    code = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.warehouse.dir", {str(tmp_path)!r}).getOrCreate()
+spark.conf.set("spark.sql.shuffle.partitions", "2")
+from millrace.llm import divergence, hard_negatives, html_text, secrets, token_counts, toxicity, warc, winnowing
+pages = spark.createDataFrame([(1, "http://a/", "<p>x</p>")], "page_id long, url string, html string")
+docs = spark.createDataFrame([(1, "some text", "en", "s")], "doc_id long, text string, lang string, source string")
+labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+rows = spark.createDataFrame([(50, [1.0], 1), (51, [1.0], 1), (52, [0.7], 2)], "vec_id long, embedding array<double>, label int")
+counts = [f.count() for f in (html_text.main_texts(pages), winnowing.edited_fingerprints(docs), token_counts.token_counts(docs),
+    toxicity.toxicity(docs, labels), warc.archive_pages(spark, pages), secrets.document_secrets(docs), divergence.source_divergence(docs),
+    hard_negatives.hard_negatives(rows))]
+print("counts", counts)
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "counts [1, 1, 1, 1, 1, 1, 0, 1]" in out.stdout, out.stderr[-3000:]
+
+
 def test_toxicity_on_real_rows(spark):
     folder = SF_SMALL.replace("0.001", "0.1")
     labels = spark.read.parquet(folder + "/labels.parquet")

@@ -177,6 +177,41 @@ def test_exact_index(spark):
     assert "Exchange" not in plan
 
 
+def test_exact_copies_in_deliveries(spark):
+    """Three deliveries into one index against a dictionary; what is kept follows from what the index had before."""
+    rng = random.Random(9)
+    index, seen = DigestIndex(spark, buckets=4), {}
+    for delivery in range(3):
+        rows = [(1000 * delivery + i, rng.choice("aAbBcCdDeEfFgG") + rng.choice(["", " x"]) if rng.random() < 0.9 else None) for i in range(40)]
+        groups = {}
+        for d, t in rows:
+            groups.setdefault(brute.lower(t), []).append(d)
+        got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in index.add(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        want = {}
+        for t, ids in groups.items():
+            stays = seen.get(t, max(ids))
+            want |= {d: (stays, len(ids), t not in seen and d == stays) for d in ids}
+            seen.setdefault(t, stays)
+        assert got == want
+    assert index.read().count() == len(seen)
+    index.drop()
+
+
+def test_no_table_stays_in_the_catalog(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    rows = exact_duplicates(spark.createDataFrame([(1, "a"), (2, "A"), (3, "b")], "doc_id long, text string"))
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert sorted((r.doc_id, r.kept) for r in rows.collect()) == [(1, False), (2, True), (3, True)]
+
+
+def test_archives_in_a_folder_without_a_scheme(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://a/", "x" * 200), (2, "http://b/", "x" * 200), (3, None, None)], "page_id long, url string, html string")
+    for folder in (str(tmp_path / "plain"), f"file://{tmp_path}/named", f"file:{tmp_path}/short"):
+        rows = warc.archive_pages(spark, pages, folder).collect()
+        assert sorted((r.page_id, r.record_type, r.refers_to) for r in rows) == [(1, "response", None), (2, "revisit", 1), (3, "response", None)]
+        assert all(r.archive.split("://")[-1] for r in rows)
+
+
 def test_mixing(spark):
     rng = random.Random(5)
     docs = [(i, " ".join(["w"] * rng.randrange(60)), rng.choice(["b", "a", "é", None, "B"] + ["hot"] * 6)) for i in range(400)]
