@@ -258,3 +258,25 @@ def main_texts(pages):
                 break
         out[page_id] = "\n".join(t for i, (t, kind) in enumerate(lines) if kind == 1 or kind == 0 and i not in gone)
     return out
+
+
+def ftrl(rows, labels, alpha, beta, l1, l2, epochs, positive):
+    """FTRL-proximal one coordinate after the other: the bias and a dictionary of the weights that are not zero."""
+    z, n = {}, {}
+
+    def weight(i):
+        at = z.get(i, 0.0)
+        if i != "bias" and abs(at) <= l1:
+            return 0.0
+        return -(at - math.copysign(l1, at) * (at != 0)) / ((beta + math.sqrt(n.get(i, 0.0))) / alpha + l2)
+
+    for _ in range(epochs):
+        for own, label in zip(rows, labels):
+            w = {i: weight(i) for i in [*own, "bias"]}
+            p = 1 / (1 + math.exp(-max(-35.0, min(35.0, sum(w.values())))))
+            g = (p - label) * (positive if label else 1.0)
+            for i in w:
+                sigma = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / alpha
+                z[i] = z.get(i, 0.0) + g - sigma * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return weight("bias"), {i: weight(i) for i in z if i != "bias" and weight(i)}

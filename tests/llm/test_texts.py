@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import html_text, winnowing
 from millrace.llm.neighbours import ranged
-from millrace.llm.toxicity import Settings, fit, score, toxicity
+from millrace.llm.toxicity import Settings, fit, ftrl, score, toxicity
 from millrace.llm.wordhash import mix, odd, slices, word_hashes
 
 
@@ -348,6 +348,19 @@ def test_toxicity_learns_and_holds_out(spark):
     assert toxicity(frame.limit(0), marks).count() == 0
 
 
+@pytest.mark.parametrize("l1, l2, epochs", [(0.0, 0.0, 1), (0.3, 0.0, 3), (1.0, 0.5, 4), (50.0, 0.0, 2)])
+def test_ftrl_equals_a_plain_version(l1, l2, epochs):
+    rng = random.Random(int(10 * l1) + epochs)
+    rows = [np.array(sorted(rng.sample(range(60), rng.randrange(12))), np.int32) for _ in range(150)]
+    labels = np.array([float(len(r) > 0 and (r[0] < 9 or rng.random() < 0.1)) for r in rows])
+    settings = Settings(bits=6, alpha=0.7, beta=0.5, l1=l1, l2=l2, epochs=epochs, positive=2.5)
+    bias, places, weights = ftrl(rows, labels, settings)
+    want_bias, want = brute.ftrl([r.tolist() for r in rows], labels.tolist(), 0.7, 0.5, l1, l2, epochs, 2.5)
+    assert bias == pytest.approx(want_bias, rel=1e-9, abs=1e-12)
+    assert dict(zip(places.tolist(), weights.tolist())) == pytest.approx(want, rel=1e-9)
+    assert l1 < 50 or not len(places)
+
+
 def test_ids_that_repeat_are_learned_once(spark):
     """A labelled id with very many documents adds one row to the sample."""
     docs = [(i, f"clean words {i}" if i % 2 else f"vile rotten {i}") for i in range(60)]
