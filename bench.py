@@ -25,6 +25,8 @@ HEADLINE = [
     "window_join", "interval_join", "reconcile_matched", "sql_not_in",
     "cep_followed_by", "cep_followed_by_any", "cep_times", "cep_login", "cep_order_match", "cep_order_timeout",
     "stream_win_tumble", "stream_hot_items_topn", "stream_interval_join", "stream_rise_alert",
+    "stream_cep_next", "stream_cep_followed_by", "stream_cep_followed_by_any", "stream_cep_times", "stream_cep_order_timeout",
+    "stream_over_count", "stream_lateness_refires", "stream_retract_changelog",
 ]
 
 

@@ -14,7 +14,6 @@ from millrace.operators.rolling import peer_count
 from millrace.operators.topn import hot_in_panes, top_n
 from millrace.operators.windows import pane_counts
 from millrace.plans.skew import salted_join, small
-from millrace.plans.staging import staged
 from millrace.sinks.batches import BatchWriter, parquet_batches, split_batches
 from millrace.sinks.upserts import UpsertStore, with_order
 from millrace.streaming.carried import Carried, Release, Watermark, at_or_before, held, us, without_marker
@@ -221,7 +220,7 @@ def login_risk_batches(
     for the next batch.
     """
     ts = order[0]
-    release, table = Release(path, ts, delay), Carried(f"{path}/open")
+    release, table, buckets = Release(path, ts, delay), Carried(f"{path}/open"), Carried(f"{path}/buckets")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -229,7 +228,7 @@ def login_risk_batches(
             shape = lambda rows: rows.select(*keys, *order, failed.alias("_bad"), succeeded.alias("_good"))
             due, _, after = release.advance(batch, batch_id, shape)
             rows = due.unionByName(table.before(spark, batch_id, due.schema))
-            found = staged(login_risk(rows, keys, order, F.col("_bad"), F.col("_good"), reach, 1), "buckets")
+            found = buckets.keep(login_risk(rows, keys, order, F.col("_bad"), F.col("_good"), reach, 1), batch_id)
             end = F.col("first_fail") + interval(reach)
             final = (F.col("alert_ts") < end) | at_or_before(us(end), after)
             found.where(final & (F.col("fails") >= least)).write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
