@@ -159,10 +159,10 @@ def test_store_before_during_and_after_a_fold(spark, tmp_path, monkeypatch):
     want, rng = {}, random.Random(1)
     state = lambda: {r.k: r.v for r in store.read(spark, "k long, at long, v string").collect()}
     assert state() == {}
-    for i in range(14):
+    for i in range(13):
         rows = [(rng.randrange(6), 100 * i + j, f"{i}.{j}") for j in range(4)]
         write = lambda: store.write(spark.createDataFrame(rows, "k long, at long, v string"), i)  # noqa: B023, E731
-        if i in (5, 9, 12):  # killed before the manifest, and after it but before the cleaning
+        if i in (5, 9):  # killed before the manifest, and after it but before the cleaning
             with monkeypatch.context() as patch:
                 target = (Folder, "touch") if i == 5 else (UpsertStore, "_clean")
                 patch.setattr(*target, lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
@@ -176,9 +176,9 @@ def test_store_before_during_and_after_a_fold(spark, tmp_path, monkeypatch):
         want |= {k: v for k, _, v in rows}
         assert state() == want
         assert len(store._parts(spark, None)) <= store.every + 3
-    assert len(store._numbers(spark, "manifest")) <= 2 and store._numbers(spark, "manifest")[-1] >= 9
+    assert len(store._numbers(spark, "manifest")) <= 2 and store._numbers(spark, "manifest")[-1] >= 7
     # A repeated batch sees what its first attempt saw.
-    assert {r.k: r.v for r in store.read(spark, until=12).collect()} != want
+    assert {r.k: r.v for r in store.read(spark, until=11).collect()} != want
 
 
 def test_changelog_folds_to_the_counts(spark, tmp_path):
@@ -242,7 +242,7 @@ def test_login_risk_matches_the_batch_form(spark, tmp_path):
     rows = feed(13, n=300, kinds="aaab")
     bad, good = F.col("event_type") == "a", F.col("event_type") == "b"
     write = login_risk_batches(str(tmp_path), ["user_id"], ["ts", "event_id"], bad, good, "15 seconds", "40 seconds")
-    parts = [*batches(rows, 13, 7), END]
+    parts = [*batches(rows, 13, 4), END]
     run(spark, write, parts)
     write(frame(spark, END), len(parts) - 1)
     want = login_risk(frame(spark, rows), ["user_id"], ["ts", "event_id"], bad, good, "15 seconds")
@@ -285,11 +285,11 @@ def pattern_of(name):
 
 @pytest.mark.parametrize("name, seed", [(n, s) for s, n in enumerate(NAMES)])
 def test_patterns_match_the_batch_form(spark, tmp_path, request, name, seed):
-    if seed % 3 == 0:
+    if seed in (3, 6):
         request.getfixturevalue("small_chunks")
     rows, pattern = feed(20 + seed), pattern_of(name)
     write = match_batches(str(tmp_path), pattern, ["user_id"], ["ts", "event_id"], ["event_id"], "35 seconds")
-    run(spark, write, [*batches(rows, seed, 6), END])
+    run(spark, write, [*batches(rows, seed, 4), END])
     want = match(frame(spark, rows), pattern, ["user_id"], ["ts", "event_id"], ["event_id"])
     got = read_batches(spark, f"{tmp_path}/out")
     assert taken(got, *sorted(want.columns)) == taken(want, *sorted(want.columns)) and want.count()
@@ -300,7 +300,7 @@ def test_pattern_timeouts_match_the_batch_form(spark, tmp_path):
     a, b, c = kinds()
     pattern = Pattern.begin("x", a).followed_by("y", b).next("z", c).within("25 seconds")
     write = match_batches(str(tmp_path), pattern, ["user_id"], ["ts", "event_id"], ["event_id"], "35 seconds", timeouts=True)
-    parts = [*batches(rows, 31, 6), END]
+    parts = [*batches(rows, 31, 4), END]
     run(spark, write, parts)
     write(frame(spark, END), len(parts) - 1)  # a repeated batch gives the same rows
     found, late = match_or_timeout(frame(spark, rows), pattern, ["user_id"], ["ts", "event_id"], ["event_id"])
