@@ -19,11 +19,22 @@ def rise_alerts(
     rising row starts a timer; a row that does not rise, up to and including the deadline, cancels it; after
     an alert the next rising row starts a new one.  Timers pending at the end of the data fire.
     """
+    spans = rise_spans(df, keys, order, value, hold, floor)
+    fires = F.col("broken_at").isNull() | (F.col("broken_at") > F.col("alert_ts"))
+    return spans.where(fires).drop("broken_at")
+
+
+def rise_spans(
+    df: DataFrame, keys: list[str], order: list[str], value: str, hold: str, floor: float = -1, known: str | None = None
+) -> DataFrame:
+    """All timers of `rise_alerts`: `rise_start`, the deadline `alert_ts`, and `broken_at`, the next row of the key that
+    does not rise.  Where the column `known` is not null it says whether a row rises."""
     ts = order[0]
     plan = layout(df, keys, order)
-    rows = plan.neighbour(plan.assign(df.select(*keys, *order, value)), "_before", [value])
+    columns = [*keys, *order, value, *([known] if known else [])]
+    rows = plan.neighbour(plan.assign(df.select(*columns)), "_before", [value])
     rises = F.col(value) > F.coalesce(F.col(f"_before.{value}"), F.lit(floor))
-    rows = rows.withColumn("_rises", rises)
+    rows = rows.withColumn("_rises", F.coalesce(known, rises) if known else rises)
     # Rows of one rise have the same number of breaks ahead of them, the next one at `_broken_at`.
     breaks = ~F.col("_rises")
     rows = plan.running(
@@ -33,8 +44,7 @@ def rise_alerts(
     rising = rows.where("_rises").select(*group, *order, CHUNK)
     starts = span_starts(plan.settle(rising), plan.refine(group), hold)
     deadline = F.col("start") + interval(hold)
-    fires = F.col("_broken_at").isNull() | (F.col("_broken_at") > deadline)
-    return starts.where(fires).select(*keys, F.col("start").alias("rise_start"), deadline.alias("alert_ts"))
+    return starts.select(*keys, F.col("start").alias("rise_start"), deadline.alias("alert_ts"), F.col("_broken_at").alias("broken_at"))
 
 
 def login_risk(
@@ -64,20 +74,23 @@ def login_risk(
     )
 
 
-def _daily_rank(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    day = F.date_trunc("day", order[0]).cast("timestamp_ntz")
+def utc_day(ts: str) -> Column:
+    return F.date_trunc("day", ts).cast("timestamp_ntz")
+
+
+def daily_rank(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     per_day = Window.partitionBy(*keys, "day").orderBy(*order)
-    return df.withColumn("day", day).withColumn("nth", F.row_number().over(per_day).cast("long"))
+    return df.withColumn("day", utc_day(order[0])).withColumn("nth", F.row_number().over(per_day).cast("long"))
 
 
 def blacklist_pass(df: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
     """The first `limit` rows of each key and UTC day.  Spark trims groups to the limit before the shuffle."""
-    return _daily_rank(df, keys, order).where(F.col("nth") <= limit)
+    return daily_rank(df, keys, order).where(F.col("nth") <= limit)
 
 
 def blacklist_alerts(df: DataFrame, keys: list[str], order: list[str], limit: int) -> DataFrame:
     """One alert per key and UTC day, at the row after the limit."""
-    return _daily_rank(df, keys, order).where(F.col("nth") == limit + 1)
+    return daily_rank(df, keys, order).where(F.col("nth") == limit + 1)
 
 
 def order_outcomes(

@@ -11,14 +11,15 @@ from millrace.operators.counts import bitmap_count, bitmap_rows, merge_bitmaps
 from millrace.operators.windows import tumble_processing_time
 from millrace.plans.skew import salted_join
 from millrace.queries.registry import ORDER, item, query
-from millrace.queries.state import SQL_LOGIN_RISK
+from millrace.queries.state import SQL_DAILY, SQL_LAST_VALUE, SQL_LOGIN_RISK, SQL_RISE
 from millrace.queries.streams import plain_times
 from millrace.queries.topn import sql_hot, SQL_VIEWS
 from millrace.queries.watermarks import deliver, sql_parts
 from millrace.sinks.batches import latest_per_key, parquet_batches, read_batches
 from millrace.sources.tables import table
 from millrace.streaming.jobs import (
-    count_changes, hot_windows, keyed_context_batches, late_batches, login_risk_batches, over_count, refiring_windows,
+    count_changes, daily_limit_batches, hot_windows, keyed_context_batches, last_value_batches, late_batches,
+    login_risk_batches, over_count, refiring_windows, rise_batches,
 )
 from millrace.streaming.processors import Unanswered, run_clock_processor
 
@@ -132,6 +133,34 @@ def stream_login_risk(spark, folder):
     return plain_times(read_batches(spark, f"{target}/out").drop("batch"), "first_fail", "alert_ts")
 
 
+@query("stream_rise_late", SQL_RISE)
+def stream_rise_late(spark, folder):
+    """Values that rise for a day, over events that come up to 23 hours late."""
+    writer = lambda path: rise_batches(path, ["user_id"], ORDER, "value", "24 hours", "24 hours", every=2)
+    target = deliver(spark, folder, everything, ("event_id", "user_id", "value", "ts"), writer)
+    return plain_times(read_batches(spark, f"{target}/out").drop("batch"), "rise_start", "alert_ts")
+
+
+@query("stream_last_value_late", SQL_LAST_VALUE)
+def stream_last_value_late(spark, folder):
+    """The value before each event in event time, over events that come up to 23 hours late."""
+    writer = lambda path: last_value_batches(path, ["user_id"], ORDER, "value", "last_value", "24 hours", every=2)
+    target = deliver(spark, folder, everything, ("event_id", "user_id", "value", "ts"), writer)
+    return read_batches(spark, f"{target}/out").select("event_id", "user_id", "value", "last_value")
+
+
+@query(
+    "stream_blacklist_late",
+    "select event_id, user_id, event_type, day, nth, case when nth <= 2 then 'pass' else 'alert' end as output "
+    f"from ({SQL_DAILY}) where nth <= 3",
+)
+def stream_blacklist_late(spark, folder):
+    """The first two events of a user, type and day in event time, and an alert at the third, over late events."""
+    writer = lambda path: daily_limit_batches(path, ["user_id", "event_type"], ORDER, 2, "24 hours")
+    target = deliver(spark, folder, everything, ("event_id", "user_id", "event_type", "ts"), writer)
+    return read_batches(spark, f"{target}/out").select("event_id", "user_id", "event_type", "day", "nth", "output")
+
+
 SQL_BITS = """select ts, list_reduce(list_prepend(0::bigint, list_transform(string_split(user_id::varchar, ''),
     lambda c: ascii(c)::bigint)), lambda h, c: (h * 61 + c) & 1073741823) as bit from events where event_type = 'view'"""
 

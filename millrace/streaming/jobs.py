@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.times import interval, span_us
-from millrace.operators.alerts import login_risk
-from millrace.operators.rolling import peer_count
+from millrace.operators.alerts import daily_rank, login_risk, rise_spans, utc_day
+from millrace.operators.rolling import peer_count, previous_value
 from millrace.operators.topn import hot_in_panes, top_n
 from millrace.operators.windows import pane_counts
 from millrace.plans.skew import salted_join, small
-from millrace.sinks.batches import BatchWriter, parquet_batches, split_batches
+from millrace.sinks.batches import BatchWriter, latest_per_key, parquet_batches, split_batches
 from millrace.sinks.upserts import UpsertStore, with_order
 from millrace.streaming.carried import Carried, Release, Watermark, at_or_before, held, us, without_marker
 
@@ -238,3 +238,103 @@ def login_risk_batches(
             table.keep(waiting.select(due.columns), batch_id)
 
     return write
+
+
+def _newest(store: UpsertStore, due: DataFrame, batch_id: int, keys: list[str]) -> DataFrame:
+    """The newest row, before this batch, of the keys that have rows in it."""
+    before = store.read(due.sparkSession, due.schema, until=batch_id - 1)
+    return before.join(due.select(*keys).distinct(), keys, "left_semi")
+
+
+def last_value_batches(
+    path: str, keys: list[str], order: list[str], value: str, out: str, delay: str, every: int = 16
+) -> BatchWriter:
+    """`operators.rolling.previous_value` on a stream whose rows come up to `delay` late.
+
+    Rows are released in event-time order; an `UpsertStore` has the newest row of each key, which goes ahead of the key's
+    rows of the batch.  Rows without a key, and rows behind the watermark, are left out.
+    """
+    release = Release(path, order[0], delay)
+    store = UpsertStore(f"{path}/last", keys, order, [*order, value], every)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with held(batch):
+            shape = lambda rows: rows.dropna(subset=keys).select(*keys, *order, value)
+            due, *_ = release.advance(batch, batch_id, shape)
+            ahead = _newest(store, due, batch_id, keys).withColumn("_new", F.lit(False))
+            rows = due.withColumn("_new", F.lit(True)).unionByName(ahead)
+            found = previous_value(rows, keys, order, value, out).where("_new").drop("_new")
+            found.write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
+            store.write(due, batch_id)
+
+    return write
+
+
+def rise_batches(
+    path: str, keys: list[str], order: list[str], value: str, hold: str, delay: str, floor: float = -1, every: int = 16
+) -> BatchWriter:
+    """`operators.alerts.rise_alerts` on a stream whose rows come up to `delay` late: an alert is written once its row of
+    the deadline is passed by the watermark or by a later break.
+
+    Rows are released in event-time order.  What went before a batch is two rows per key at most: where its pending timer
+    started and its newest row (carried while the timer runs), or its newest row alone, which says whether the next one
+    rises (in an `UpsertStore`, as that is one row per key ever seen).  The rows of a hot key are cut into chunks.  Rows
+    without a key, and rows behind the watermark, are left out.
+    """
+    ts, unique = order
+    release, pending, spans = Release(path, ts, delay), Carried(f"{path}/pending"), Carried(f"{path}/spans")
+    store = UpsertStore(f"{path}/last", keys, order, [*order, value], every)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with held(batch):
+            shape = lambda rows: rows.dropna(subset=keys).select(*keys, *order, value)
+            due, _, after = release.advance(batch, batch_id, shape)
+            rows = due.withColumn("_known", F.lit(None).cast("boolean"))
+            timed = pending.before(batch.sparkSession, batch_id, rows.schema)
+            # Without a timer the newest row starts none: it was dealt with in its own batch.
+            idle = _newest(store, due, batch_id, keys).join(timed.select(*keys).distinct(), keys, "left_anti")
+            rows = rows.unionByName(timed).unionByName(idle.withColumn("_known", F.lit(False)))
+            found = spans.keep(rise_spans(rows, keys, order, value, hold, floor, "_known"), batch_id)
+            passed = at_or_before(us("alert_ts"), after)
+            fires = F.coalesce(F.col("broken_at") > F.col("alert_ts"), passed)
+            found.where(fires).drop("broken_at").write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
+            # A key has at most one timer that still runs, its last.
+            running = found.where(F.col("broken_at").isNull() & ~passed).select(*keys, "rise_start")
+            entry = lambda at: F.struct(at.alias(ts), F.col(unique), F.col(value), F.lit(True).alias("_known"))
+            start, newest = entry(F.col("rise_start")), entry(F.col(ts))
+            both = F.when(F.col("rise_start") < F.col(ts), F.array(start, newest)).otherwise(F.array(newest))
+            carried = latest_per_key(rows, keys, order, [*order, value]).join(running, keys)
+            pending.keep(carried.select(*keys, F.inline(both)).select(rows.columns), batch_id)
+            store.write(due, batch_id)
+
+    return write
+
+
+def daily_limit_batches(path: str, keys: list[str], order: list[str], limit: int, delay: str) -> BatchWriter:
+    """The first `limit` rows of each key and UTC day to `out` as `pass`, the one after them as `alert`, over rows that
+    come up to `delay` late.
+
+    State is one count per key and day, for days that the watermark has not passed.  A batch trims each key and day to
+    limit + 1 rows per task before its shuffle.  Rows behind the watermark are left out.
+    """
+    ts = order[0]
+    release, counts = Release(path, ts, delay), Carried(f"{path}/counts")
+    group = [*keys, "day"]
+    together = lambda df, name: df.select(F.struct(*group).alias("_g"), F.col("n").alias(name))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with held(batch):
+            due, _, after = release.advance(batch, batch_id)
+            first = daily_rank(due, keys, order).where(F.col("nth") <= limit + 1)
+            new = due.withColumn("day", utc_day(ts)).groupBy(*group).agg(F.count("*").alias("n"))
+            old = counts.before(batch.sparkSession, batch_id, new.schema)
+            # As one struct, as null keys compare equal in it.
+            rows = first.withColumn("_g", F.struct(*group)).join(together(old, "_had"), "_g", "left").drop("_g")
+            rows = rows.withColumn("nth", F.col("nth") + F.coalesce("_had", F.lit(0))).where(F.col("nth") <= limit + 1)
+            output = F.when(F.col("nth") <= limit, "pass").otherwise("alert").alias("output")
+            rows.drop("_had").select("*", output).write.mode("overwrite").parquet(f"{path}/out/batch={batch_id}")
+            totals = old.unionByName(new).groupBy(*group).agg(F.sum("n").alias("n"))
+            day_end = us(F.col("day").cast("timestamp")) + span_us("1 day") - 1
+            counts.keep(totals.where(~at_or_before(day_end, after)), batch_id)
+
+    return write

@@ -5,9 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators.alerts import login_risk
+from millrace.operators.alerts import daily_rank, login_risk, rise_alerts
 from millrace.operators.counts import bitmap_count, bitmap_rows, bitmap_visitors, merge_bitmaps
 from millrace.operators.patterns import Pattern, match, match_or_timeout
+from millrace.operators.rolling import previous_value
 from millrace.operators.topn import hot_in_windows
 from millrace.plans.staging import Folder
 from millrace.sinks.batches import read_batches
@@ -15,7 +16,8 @@ from millrace.sinks.upserts import UpsertStore
 from millrace.streaming import carried
 from millrace.streaming.carried import Carried, Release, Watermark
 from millrace.streaming.jobs import (
-    count_changes, hot_windows, keyed_context_batches, late_batches, login_risk_batches, over_count, refiring_windows,
+    count_changes, daily_limit_batches, hot_windows, keyed_context_batches, last_value_batches, late_batches,
+    login_risk_batches, over_count, refiring_windows, rise_batches,
 )
 from millrace.streaming.patterns import match_batches
 
@@ -249,6 +251,71 @@ def test_login_risk_matches_the_batch_form(spark, tmp_path):
     assert taken(read_batches(spark, f"{tmp_path}/out").drop("batch"), *want.columns) == taken(want, *want.columns)
 
 
+def valued(df):
+    """A value that mostly rises, with equal values, falls and nulls; ids are in order of arrival."""
+    h = F.pmod(F.xxhash64("event_id"), F.lit(20))
+    value = F.when(h < 2, F.lit(None)).when(h < 5, F.lit(1.0)).otherwise(F.unix_seconds("ts") + F.pmod(h, F.lit(3)) * 4.0)
+    return df.withColumn("value", value.cast("double"))
+
+
+KEY, TIMES = ["user_id"], ["ts", "event_id"]
+
+
+def test_rises_match_the_batch_form(spark, tmp_path, small_chunks):
+    rows = feed(14, n=200)
+    write = rise_batches(str(tmp_path), KEY, TIMES, "value", "25 seconds", "40 seconds", every=1)
+    parts = [*batches(rows, 14, 3), END]
+    for i, part in enumerate(parts):
+        write(valued(frame(spark, part)), i)
+    write(valued(frame(spark, END)), len(parts) - 1)  # a batch that is repeated
+    want = rise_alerts(valued(frame(spark, rows)), KEY, TIMES, "value", "25 seconds")
+    assert taken(read_batches(spark, f"{tmp_path}/out").drop("batch"), *want.columns) == taken(want, *want.columns) != []
+    assert spark.read.parquet(f"{tmp_path}/pending/batch={len(parts) - 1}").count() == 0
+
+
+def test_rises_over_batches(spark, tmp_path):
+    """A timer goes on over batches, breaks exactly at the deadline, and fires without another row of its key."""
+    rows = [[(1, 0, "5", 10), (1, 1, "6", 12), (2, 2, "1", 13)], [(1, 3, "7", 18), (1, 4, "7", 20), (1, 5, "8", 21)], [(2, 6, "2", 60), (None, 7, "9", 61)]]
+    typed = lambda df: df.withColumn("value", F.col("event_type").cast("double"))
+    write = rise_batches(str(tmp_path), KEY, TIMES, "value", "10 seconds", "0 seconds")
+    for i, part in enumerate(rows):
+        write(typed(frame(spark, part)), i)
+    waiting = [tuple(r) for r in spark.read.parquet(f"{tmp_path}/pending/batch=2").select("user_id", F.unix_seconds("ts")).collect()]
+    assert waiting == [(2, 60)]
+    write(typed(frame(spark, END)), len(rows))
+    out = read_batches(spark, f"{tmp_path}/out").select("user_id", F.unix_seconds("rise_start"), F.unix_seconds("alert_ts"), "batch")
+    assert sorted(map(tuple, out.collect())) == [(1, 21, 31, 2), (2, 13, 23, 2), (2, 60, 70, 3)]
+
+
+def test_last_values_match_the_batch_form(spark, tmp_path, small_chunks):
+    rows = feed(15)
+    write = last_value_batches(str(tmp_path), KEY, TIMES, "value", "last_value", "40 seconds", every=1)
+    for i, part in enumerate([[], *batches(rows, 15, 3), END]):
+        write(valued(frame(spark, part)), i)
+    want = previous_value(valued(frame(spark, rows)), KEY, TIMES, "value", "last_value")
+    columns = ["user_id", "event_id", "value", "last_value"]
+    assert taken(read_batches(spark, f"{tmp_path}/out"), *columns) == taken(want, *columns)
+
+
+def test_daily_limits_match_the_batch_form(spark, tmp_path):
+    days = lambda df: df.withColumn("ts", F.timestamp_seconds(F.unix_seconds("ts") * 900))
+    rows = feed(16, n=260)
+    keys = ["user_id", "event_type"]
+    write = daily_limit_batches(str(tmp_path), keys, TIMES, 3, "10 hours")
+    parts = [*batches([*rows, (None, 900, "a", rows[-1][3]), (None, 901, "a", rows[-1][3])], 16, 3)]
+    for i, part in enumerate(parts):
+        write(days(frame(spark, part)), i)
+    kept = spark.read.parquet(f"{tmp_path}/counts/batch=2")
+    assert kept.select("day").distinct().count() <= 2  # days behind the watermark are forgotten
+    write(frame(spark, END), 3)
+    write(frame(spark, END), 3)
+    want = daily_rank(days(frame(spark, [r for p in parts for r in p])), keys, TIMES).where("nth <= 4")
+    columns = [*keys, "event_id", "day", "nth"]
+    got = read_batches(spark, f"{tmp_path}/out")
+    assert taken(got, *columns) == taken(want, *columns)
+    assert got.where((F.col("output") == "alert") != (F.col("nth") == 4)).count() == 0
+
+
 def test_bitmaps_merge(spark):
     rows = frame(spark, [(u % 70_000, i, "a", i * 40) for i, u in enumerate(range(0, 210_000, 97))]).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     parts = [bitmap_rows(rows.where(F.col("event_id") % 3 == k), "ts", "user_id", "1 hour") for k in range(3)]
