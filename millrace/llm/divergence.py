@@ -39,6 +39,8 @@ SCALE = 10**9
 MIN_DOCS = 3
 TERM_RANKS = 200
 SHARD_POSTINGS = 200_000
+# Groups whose accumulators one task fills for a shard; more of a language go to further tasks.
+GROUP_BLOCK = 512
 
 _LETTERS = {*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _TABLE = bytes((c + 32 if 0x41 <= c <= 0x5A else c) if c in _LETTERS else 0x20 for c in range(256))
@@ -120,18 +122,28 @@ def histogram_sums(p: np.ndarray, times: np.ndarray, z: np.ndarray) -> tuple[np.
     return ahead, back
 
 
-def accumulate(offsets: np.ndarray, group: np.ndarray, p: np.ndarray, z: np.ndarray) -> np.ndarray:
-    """The sum over the terms of both for every (group, peer), one dense accumulator per group.
+def by_group(group: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries in the order of their group, and where each group begins."""
+    order = np.argsort(group, kind="stable")
+    return order, np.searchsorted(group[order], np.arange(count + 1))
 
-    Term t has the entries offsets[t] to offsets[t + 1] of `group` and `p`; `z` is each group's constant.
+
+def accumulate(offsets: np.ndarray, group: np.ndarray, p: np.ndarray, z: np.ndarray, wanted: np.ndarray):
+    """The sum over the terms of both, for every pair of a wanted group and a peer where it is not 0: group, peer, sum.
+
+    Term t has the entries offsets[t] to offsets[t + 1] of `group` and `p`; `z` is each group's constant.  One dense
+    accumulator over the peers serves all groups in turn.
     """
-    out = np.zeros((len(z), len(z)), np.int64)
-    term = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    for g in range(len(z)):
-        own = np.flatnonzero(group == g)
+    sizes = np.diff(offsets)
+    term = np.repeat(np.arange(len(sizes)), sizes)
+    order, begins = by_group(group, len(z))
+    row, out = np.zeros(len(z), np.int64), []
+    for g in wanted:
+        own = order[begins[g] : begins[g + 1]]
         if not len(own):
             continue
-        widths = np.diff(offsets)[term[own]]
+        row[:] = 0
+        widths = sizes[term[own]]
         cuts = np.searchsorted(np.cumsum(widths), np.arange(0, widths.sum(), 1_000_000))
         for a, b in zip(cuts, [*cuts[1:], len(own)], strict=True):
             rows, width = own[a:b], widths[a:b]
@@ -139,8 +151,11 @@ def accumulate(offsets: np.ndarray, group: np.ndarray, p: np.ndarray, z: np.ndar
             entry = begin + np.arange(width.sum())
             h, mine, theirs = group[entry], np.repeat(p[rows], width), p[entry]
             gain = difference(mine, theirs) - difference(mine, z[h]) - difference(z[g], theirs) + difference(z[g], z[h])
-            np.add.at(out[g], h, gain)
-    return out
+            np.add.at(row, h, gain)
+        row[g] = 0
+        peers = np.flatnonzero(row)
+        out.append((np.full(len(peers), g), peers, row[peers]))
+    return tuple(np.concatenate([part[i] for part in out] or [np.zeros(0, np.int64)]) for i in range(3))
 
 
 def term_index(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
@@ -201,36 +216,43 @@ def baseline_sums(index: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def shared_sums(index: DataFrame, groups: DataFrame) -> DataFrame:
-    """The second line of the sum, shard by shard of the term-major index: lang, source, item, value."""
-    langs = groups.select("lang", "shards").distinct()
+    """The second line of the sum, shard by shard of the term-major index: lang, source, item, value.
+
+    A language of very many sources deals them to blocks, and a task takes one block of groups through one shard, so what
+    it holds stays in proportion to the shard, a block and one row over the peers.
+    """
+    langs = groups.groupBy("lang", "shards").agg(F.ceil(F.count("*") / GROUP_BLOCK).cast("int").alias("blocks"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     rows = index.join(small(langs), "lang").select(
-        "lang", F.pmod(F.xxhash64("term"), "shards").cast("int").alias("shard"),
+        "lang", F.pmod(F.xxhash64("term"), "shards").cast("int").alias("shard"), each("blocks").alias("block"),
         F.col("entries.source").alias("sources"), F.col("entries.n").alias("counts"),
     )
-    all_groups = groups.where("shards > 0").select(
-        "lang", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), "source", "size", "kept"
-    )
+    own_block = F.pmod(F.xxhash64("source"), "blocks").cast("int")
+    all_groups = groups.where("shards > 0").join(small(langs.select("lang", "blocks")), "lang")
+    all_groups = all_groups.select("lang", each("shards").alias("shard"), "source", "size", "kept", "blocks", own_block.alias("own"))
+    all_groups = all_groups.select("*", each("blocks").alias("block")).drop("blocks")
 
     def run(key, terms: pa.Table, peers: pa.Table) -> pa.Table:
         names = peers.column("source").combine_chunks()
         totals, kept = _numbers(peers, "size"), int(_numbers(peers, "kept")[0]) if len(peers) else 0
+        wanted = np.flatnonzero(_numbers(peers, "own") == key[2].as_py())
         sources, counts = terms.column("sources").combine_chunks(), terms.column("counts").combine_chunks()
         offsets = np.concatenate(([0], np.cumsum(pc.list_value_length(sources).to_numpy(zero_copy_only=False)))).astype(np.int64)
         group = pc.index_in(pc.list_flatten(sources), value_set=names).to_numpy(zero_copy_only=False).astype(np.int64)
         n = pc.list_flatten(counts).to_numpy(zero_copy_only=False).astype(np.int64)
         p, z = np.zeros(len(n), np.int64), np.zeros(len(names), np.int64)
+        order, begins = by_group(group, len(names))
         for g, total in enumerate(totals):
-            p[group == g] = scaled(n[group == g], int(total), kept)
+            own = order[begins[g] : begins[g + 1]]
+            p[own] = scaled(n[own], int(total), kept)
             z[g] = scaled(np.zeros(1, np.int64), int(total), kept)[0]
-        sums = accumulate(offsets, group, p, z)
-        np.fill_diagonal(sums, 0)
-        a, b = np.nonzero(sums)
+        a, b, value = accumulate(offsets, group, p, z, wanted)
         return pa.table({
             "lang": pa.array([key[0].as_py()] * len(a), pa.string()), "source": names.take(pa.array(a)),
-            "item": names.take(pa.array(b)), "value": pa.array(sums[a, b]),
+            "item": names.take(pa.array(b)), "value": pa.array(value),
         })
 
-    both = rows.groupBy("lang", "shard").cogroup(all_groups.groupBy("lang", "shard"))
+    both = rows.groupBy("lang", "shard", "block").cogroup(all_groups.groupBy("lang", "shard", "block"))
     return both.applyInArrow(run, "lang string, source string, item string, value long")
 
 

@@ -127,9 +127,10 @@ def divergence_frame(spark, docs):
     return spark.createDataFrame(rows, "lang string, source string, text string, term string, n int, docs int, value string").repartition(3)
 
 
-@pytest.mark.parametrize("shard, ranks", [(divergence.SHARD_POSTINGS, 200), (20, 5)])
-def test_divergence_matches_brute_force(spark, monkeypatch, shard, ranks):
+@pytest.mark.parametrize("shard, ranks, block", [(divergence.SHARD_POSTINGS, 200, divergence.GROUP_BLOCK), (20, 5, 2)])
+def test_divergence_matches_brute_force(spark, monkeypatch, shard, ranks, block):
     monkeypatch.setattr(divergence, "SHARD_POSTINGS", shard)
+    monkeypatch.setattr(divergence, "GROUP_BLOCK", block)
     docs = divergent_docs()
     rows = divergence.source_divergence(divergence_frame(spark, docs), term_ranks=ranks).collect()
     assert sorted(tuple(r) for r in rows) == brute.divergence(docs, ranks=ranks)
@@ -151,6 +152,26 @@ def test_counts_beyond_64_bits_stay_exact():
         1 + 10**9 * (c + 1) // (total + kept) for c in (0, 3, n)]
 
 
+def test_accumulators_of_many_groups():
+    """Two thousand groups, a block of them asked for: what comes back is theirs alone, and equals the plain sums."""
+    rng = np.random.default_rng(6)
+    groups, widths = 2_000, rng.integers(1, 6, 500)
+    entries = [rng.choice(groups, w, replace=False) for w in widths]
+    offsets, group = np.concatenate(([0], np.cumsum(widths))), np.concatenate(entries)
+    z, p = rng.integers(1, 50, groups), rng.integers(50, 5_000, len(group))
+    wanted = np.arange(0, groups, 4)
+    f = lambda x, y: (int(x) - int(y)) ** 2 // int(y)
+    want = {}
+    for a, b in zip(offsets, offsets[1:]):
+        for i in range(a, b):
+            for j in range(a, b):
+                g, h = int(group[i]), int(group[j])
+                if g != h and g % 4 == 0:
+                    want[g, h] = want.get((g, h), 0) + f(p[i], p[j]) - f(p[i], z[h]) - f(z[g], p[j]) + f(z[g], z[h])
+    got = divergence.accumulate(offsets, group, p, z, wanted)
+    assert dict(zip(zip(got[0].tolist(), got[1].tolist()), got[2].tolist())) == {k: v for k, v in want.items() if v}
+
+
 def test_no_posting_pairs_leave_a_shard(spark):
     """What the sparse product hands on is a row per pair of groups and shard, however many terms they share."""
     made = []
