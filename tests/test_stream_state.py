@@ -262,9 +262,9 @@ KEY, TIMES = ["user_id"], ["ts", "event_id"]
 
 
 def test_rises_match_the_batch_form(spark, tmp_path, small_chunks):
-    rows = feed(14, n=200)
+    rows = feed(14, n=140)
     write = rise_batches(str(tmp_path), KEY, TIMES, "value", "25 seconds", "40 seconds", every=1)
-    parts = [*batches(rows, 14, 3), END]
+    parts = [*batches(rows, 14, 2), END]
     for i, part in enumerate(parts):
         write(valued(frame(spark, part)), i)
     write(valued(frame(spark, END)), len(parts) - 1)  # a batch that is repeated
