@@ -25,7 +25,7 @@ from millrace.sources.text import stream_lines
 from millrace.streaming.jobs import rule_batches, top_n_batches, watermarked_pairs
 from millrace.streaming.processors import (
     CountWindow, DailyLimit, FailAfterFail, Inactivity, LastValue, OrderOutcome, Reconcile, RiseTimer, RollingStats,
-    StateKinds, run_processor, run_row_processor,
+    StateKinds, run_group_processor, run_processor, run_row_processor,
 )
 from millrace.streaming.replay import drain, replay, replayed, replayed_latest
 
@@ -394,7 +394,7 @@ def stream_reconcile(spark, folder):
         both = left.withColumn("is_left", F.lit(True)).unionByName(right.withColumn("is_left", F.lit(False)))
         rows = end.follow(both).withWatermark("ts", "3650 days")
         step = Reconcile(span_us("3650 days"))
-        return run_row_processor(rows, ["order_key"], step, step.schema)
+        return run_group_processor(rows, ["order_key"], step, step.schema)
 
     out = replayed(spark, "reconcile", build)
     return out.select("order_key", at("order_us").alias("order_ts"), at("ship_us").alias("ship_ts"), "side")

@@ -4,6 +4,9 @@ Each processor sees the rows of one key in one micro-batch, in no particular ord
 depends on order sort them by event time first.  How many rows that can be is set by the source
 (`maxFilesPerTrigger`), not by the size of the key.  Event times are the long column `us` (microseconds).
 State lives in the RocksDB store; timers, in milliseconds, round up so that they never fire early.
+
+Where keys have a handful of rows each, a call per key costs far more than its rows.  `GroupProcessor`s see groups of
+keys, dealt out by hash, and work on whole columns; the open rows of a group are one state value with one timer.
 """
 
 from __future__ import annotations
@@ -11,13 +14,21 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 DAY_US = 86_400_000_000
 
+# `us` of a row without event time in a `GroupProcessor`, after all others; no column of times has nulls, which pandas
+# would turn into floats.
+NO_TIME = 2**63 - 1
+# Groups of keys of a stream; as state belongs to a group, a checkpoint is bound to the number it was started with.
+GROUPS = 1024
+
 
 def run_processor(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: str) -> DataFrame:
     """Apply a processor per key to a watermarked stream; `ts` is its event time."""
@@ -37,6 +48,20 @@ def run_row_processor(df: DataFrame, keys: list[str], processor: StatefulProcess
     return timed.groupBy(*keys).transformWithState(processor, schema, "Append", "EventTime")
 
 
+def run_group_processor(
+    df: DataFrame, keys: list[str], processor: GroupProcessor, schema: str, groups: int = GROUPS
+) -> DataFrame:
+    """Apply a processor to groups of keys of a watermarked stream; `ts` is its event time.  Rows without the first key,
+    such as the end marker, are group -1, which is skipped."""
+    first = F.col(keys[0])
+    group = F.when(first.isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64(*keys), F.lit(groups)))
+    timed = df.withColumns({
+        "_group": group.cast("long"), "us": F.coalesce(F.unix_micros("ts"), F.lit(NO_TIME)),
+        keys[0]: F.coalesce(first, F.lit("0").cast(df.schema[keys[0]].dataType)),
+    })
+    return timed.groupBy("_group").transformWithStateInPandas(processor, schema, "Append", "EventTime")
+
+
 def in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     return pd.concat(list(rows), ignore_index=True).sort_values(["us", "event_id"], ignore_index=True)
 
@@ -45,7 +70,7 @@ def is_marker(key: tuple) -> bool:
     return key[0] is None or pd.isna(key[0])
 
 
-def to_ms(us: int) -> int:
+def to_ms(us):
     return -(-us // 1000)
 
 
@@ -286,6 +311,79 @@ class RiseTimer(Processor):
         yield self._alerts(key, [start])
 
 
+class GroupProcessor(StatefulProcessor):
+    """What is open of a group of keys is one table, `held`, of which each row has a deadline; the group's only timer is
+    the first of them.
+
+    Subclasses say what rows and deadlines do: `rows` takes what is held (None if nothing) and the new rows, `expired`
+    takes the rows that are due.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "held binary, next_ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if key[0] < 0:
+            return
+        held, timer = self._read()
+        out, held = self.rows(held, pd.concat(list(rows), ignore_index=True))
+        self._write(held, timer)
+        if len(out):
+            yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        held, timer = self._read()
+        passed = max(timer, timerValues.getCurrentWatermarkInMs() - 1)
+        due = self.due_ms(held) <= passed
+        out = self.expired(held[due])
+        self._write(held[~due])
+        if len(out):
+            yield out
+
+    def _read(self) -> tuple[pd.DataFrame | None, int | None]:
+        value = self.open.get()
+        if value is None:
+            return None, None
+        return pa.ipc.open_stream(value[0]).read_pandas(), value[1]
+
+    def _write(self, held: pd.DataFrame, timer: int | None = None) -> None:
+        """Keep `held` and move the timer, which stands at `timer`; one that fires goes by itself."""
+        first = int(self.due_ms(held).min()) if len(held) else None
+        if first != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if first is not None:
+                self.handle.registerTimer(first)
+        if first is None:
+            self.open.clear()
+            return
+        rows = pa.Table.from_pandas(held, preserve_index=False)
+        with pa.BufferOutputStream() as buffer:
+            with pa.ipc.new_stream(buffer, rows.schema) as stream:
+                stream.write_table(rows)
+            self.open.update((buffer.getvalue().to_pybytes(), first))
+
+    def rows(self, held: pd.DataFrame | None, fresh: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """Results, and what is held from now on."""
+        raise NotImplementedError
+
+    def due_ms(self, held: pd.DataFrame) -> pd.Series:
+        raise NotImplementedError
+
+    def expired(self, due: pd.DataFrame) -> pd.DataFrame:
+        """Results for rows that are held no more."""
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+def known_us(us: pd.Series) -> pd.Series:
+    """Null where there is no time."""
+    return us.astype("Int64").mask(us == NO_TIME)
+
+
 class DailyLimit(Processor):
     """Rows up to the daily limit pass, the next one raises the day's only alert, the rest are dropped.
     A timer at the following midnight forgets the day."""
@@ -369,53 +467,42 @@ class OrderOutcome(Processor):
         yield self._result(key, create, pay)
 
 
-class Reconcile(Processor):
+class Reconcile(GroupProcessor):
     """Pair rows of two feeds per key in order, each once; what is left `hold_us` after the key's newest row
-    comes out alone.  Only one side can be waiting, since two waiting rows would be a pair."""
+    comes out alone.  Only one side of a key can be waiting, since two waiting rows would be a pair."""
 
     schema = "order_key long, order_us long, ship_us long, side string"
 
     def __init__(self, hold_us: int):
         self.hold_us = hold_us
 
-    def init(self, handle):
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "is_left boolean, us long")
-        self.due = handle.getValueState("due", "timer_ms long")
-
-    @staticmethod
-    def _alone(key, left: bool, us: int) -> Row:
-        if left:
-            return Row(order_key=key[0], order_us=us, ship_us=None, side="left_only")
-        return Row(order_key=key[0], order_us=None, ship_us=us, side="right_only")
+    def rows(self, held, fresh):
+        both = fresh.sort_values(["us", "is_left"])[["order_key", "is_left", "us"]].astype({"is_left": bool})
+        both = both if held is None else pd.concat([held, both])
+        both = both.reset_index(drop=True)
+        both["place"] = both.groupby(["order_key", "is_left"], sort=False).cumcount()
+        sides = both.groupby("order_key", sort=False).is_left
+        lefts, all_ = sides.transform("sum"), sides.transform("size")
+        matched = both.place < np.minimum(lefts, all_ - lefts)
+        paired = both[matched].sort_values(["order_key", "place"])
+        left, right = paired[paired.is_left], paired[~paired.is_left]
+        out = pd.DataFrame(
+            {
+                "order_key": left.order_key.to_numpy(), "order_us": known_us(left.us).array,
+                "ship_us": known_us(right.us).array, "side": "matched",
+            }
+        )
+        return out, both[~matched].drop(columns="place")
 
-    def rows(self, key, rows):
-        fresh = sorted((row.us, row.is_left) for row in rows)
-        due = self.due.get()
-        sides = {True: deque(), False: deque()}
-        if due:
-            for left, us in self.waiting.get():
-                sides[left].append(us)
-            self.handle.deleteTimer(due[0])
-        for us, left in fresh:
-            sides[left].append(us)
-        while sides[True] and sides[False]:
-            yield Row(order_key=key[0], order_us=sides[True].popleft(), ship_us=sides[False].popleft(), side="matched")
-        rest = [(left, us) for left, times in sides.items() for us in times]
-        if rest:
-            timer = to_ms(max(us for _, us in rest) + self.hold_us)
-            self.waiting.put(rest)
-            self.due.update((timer,))
-            self.handle.registerTimer(timer)
-        elif due:
-            self.waiting.clear()
-            self.due.clear()
+    def due_ms(self, held):
+        # Rows without a time wait for nothing.
+        newest = held.us.where(held.us != NO_TIME, 0).groupby(held.order_key, sort=False).transform("max")
+        return to_ms(newest + self.hold_us)
 
-    def timer(self, key, at_ms):
-        for left, us in self.waiting.get():
-            yield self._alone(key, left, us)
-        self.waiting.clear()
-        self.due.clear()
+    def expired(self, due):
+        us, left = known_us(due.us), due.is_left
+        side = np.where(left, "left_only", "right_only")
+        return pd.DataFrame({"order_key": due.order_key, "order_us": us.where(left), "ship_us": us.where(~left), "side": side})
 
 
 class FailAfterFail(Processor):
