@@ -281,11 +281,11 @@ def stream_interval_outer_join(spark, folder):
 # ---- keyed state and timers ----------------------------------------------------------------------
 
 
-def stateful(spark, folder, label, processor, keys, columns, *types):
+def stateful(spark, folder, label, processor, keys, columns, *types, run=run_processor):
     def build(end):
         rows = feed(spark, folder, *types).select("event_id", "ts", *dict.fromkeys([*keys, *columns]))
         timed = end.follow(rows).withWatermark("ts", "0 seconds")
-        return run_processor(timed, keys, processor, processor.schema)
+        return run(timed, keys, processor, processor.schema)
 
     return build
 
@@ -353,7 +353,8 @@ def stream_rise_alert(spark, folder):
     f"from ({SQL_DAILY}) where nth <= 3",
 )
 def stream_blacklist(spark, folder):
-    out = replayed(spark, "blacklist", stateful(spark, folder, "blacklist", DailyLimit(2), ["user_id", "event_type"], []))
+    limit, keys = DailyLimit(2), ["user_id", "event_type"]
+    out = replayed(spark, "blacklist", stateful(spark, folder, "blacklist", limit, keys, [], run=run_group_processor))
     return out.select("event_id", "user_id", "event_type", at("day_us").alias("day"), "nth", "output")
 
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 DAY_US = 86_400_000_000
+DAY_MS = DAY_US // 1000
 
 # `us` of a row without event time in a `GroupProcessor`, after all others; no column of times has nulls, which pandas
 # would turn into floats.
@@ -384,41 +385,40 @@ def known_us(us: pd.Series) -> pd.Series:
     return us.astype("Int64").mask(us == NO_TIME)
 
 
-class DailyLimit(Processor):
+class DailyLimit(GroupProcessor):
     """Rows up to the daily limit pass, the next one raises the day's only alert, the rest are dropped.
-    A timer at the following midnight forgets the day."""
+    Held is one count per key and day; the following midnight forgets the day."""
 
     schema = "event_id long, user_id long, event_type string, day_us long, nth long, output string"
+    day = ["user_id", "event_type", "day"]
 
     def __init__(self, limit: int):
         self.limit = limit
 
-    def init(self, handle):
-        self.handle = handle
-        self.seen = handle.getMapState("seen", "day long", "n long")
-
-    def rows(self, key, rows):
-        df = in_order(rows)
+    def rows(self, held, fresh):
+        df = fresh.sort_values(["us", "event_id"], ignore_index=True)
         df["day"] = df.us // DAY_US
-        days = [int(d) for d in df.day.unique()]
-        before = {d: self.seen.getValue((d,))[0] if self.seen.containsKey((d,)) else 0 for d in days}
-        df["nth"] = df.groupby("day").cumcount() + 1 + df.day.map(before)
-        for day, nth in df.groupby("day")["nth"].max().items():
-            if not before[day]:
-                self.handle.registerTimer((int(day) + 1) * DAY_US // 1000)
-            self.seen.updateValue((int(day),), (int(nth),))
+        df["nth"] = df.groupby(self.day, dropna=False, sort=False).cumcount() + 1
+        counts = df.groupby(self.day, dropna=False, sort=False, as_index=False).agg(n=("nth", "max"))
+        if held is not None:
+            before = df[self.day].merge(held, on=self.day, how="left").n
+            df["nth"] += before.fillna(0).astype("int64").to_numpy()
+            counts = pd.concat([held, counts]).groupby(self.day, dropna=False, sort=False, as_index=False).agg(n=("n", "sum"))
         kept = df[df.nth <= self.limit + 1]
-        if len(kept):
-            yield pd.DataFrame(
-                {
-                    "event_id": kept.event_id, "user_id": key[0], "event_type": key[1], "day_us": kept.day * DAY_US,
-                    "nth": kept.nth, "output": (kept.nth <= self.limit).map({True: "pass", False: "alert"}),
-                }
-            )
+        out = pd.DataFrame(
+            {
+                "event_id": kept.event_id, "user_id": kept.user_id, "event_type": kept.event_type,
+                "day_us": known_us((kept.day * DAY_US).where(kept.us != NO_TIME, NO_TIME)), "nth": kept.nth,
+                "output": np.where(kept.nth <= self.limit, "pass", "alert"),
+            }
+        )
+        return out, counts
 
-    def timer(self, key, at_ms):
-        self.seen.removeKey((at_ms * 1000 // DAY_US - 1,))
-        return iter(())
+    def due_ms(self, held):
+        return (held.day + 1) * DAY_MS
+
+    def expired(self, due):
+        return pd.DataFrame()
 
 
 class OrderOutcome(Processor):
