@@ -25,7 +25,7 @@ from millrace.sources.text import stream_lines
 from millrace.streaming.jobs import rule_batches, top_n_batches, watermarked_pairs
 from millrace.streaming.processors import (
     CountWindow, DailyLimit, FailAfterFail, Inactivity, LastValue, OrderOutcome, Reconcile, RiseTimer, RollingStats,
-    StateKinds, run_group_processor, run_processor, run_row_processor,
+    StateKinds, run_group_processor, run_processor,
 )
 from millrace.streaming.replay import drain, replay, replayed, replayed_latest
 
@@ -382,7 +382,7 @@ def stream_order_timeout(spark, folder):
         both = create.withColumn("event_type", F.lit("create")).unionByName(pay.withColumn("event_type", F.lit("pay")))
         rows = end.follow(both.withColumnRenamed("order_key", "order_id")).withWatermark("ts", "3650 days")
         step = OrderOutcome(span_us("180 days"), span_us("3650 days"))
-        return run_row_processor(rows, ["order_id"], step, step.schema)
+        return run_group_processor(rows, ["order_id"], step, step.schema)
 
     out = replayed(spark, "orders", build)
     return out.select("order_id", at("create_us").alias("create_ts"), at("pay_us").alias("pay_ts"), "outcome")

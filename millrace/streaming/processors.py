@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -43,12 +43,6 @@ def run_clock_processor(df: DataFrame, keys: list[str], processor: StatefulProce
     return timed.groupBy(*keys).transformWithStateInPandas(processor, schema, "Append", "ProcessingTime")
 
 
-def run_row_processor(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: str) -> DataFrame:
-    """The same for processors of single rows: cheaper where keys have a handful of rows each."""
-    timed = df.withColumn("us", F.unix_micros("ts"))
-    return timed.groupBy(*keys).transformWithState(processor, schema, "Append", "EventTime")
-
-
 def run_group_processor(
     df: DataFrame, keys: list[str], processor: GroupProcessor, schema: str, groups: int = GROUPS
 ) -> DataFrame:
@@ -421,7 +415,7 @@ class DailyLimit(GroupProcessor):
         return pd.DataFrame()
 
 
-class OrderOutcome(Processor):
+class OrderOutcome(GroupProcessor):
     """Outcome of each order once both events are in, or when `hold_us` has passed since the first one."""
 
     schema = "order_id long, create_us long, pay_us long, outcome string"
@@ -430,41 +424,38 @@ class OrderOutcome(Processor):
         self.limit_us = limit_us
         self.hold_us = hold_us
 
-    def init(self, handle):
-        self.handle = handle
-        self.half = handle.getValueState("half", "create_us long, pay_us long, timer_ms long")
+    def _results(self, df: pd.DataFrame) -> pd.DataFrame:
+        late = df.pay_us.to_numpy() - df.create_us.to_numpy() > self.limit_us
+        outcome = np.where(late, "paid_late", "paid")
+        outcome = np.where(df.pay_us == NO_TIME, "timeout", outcome)
+        outcome = np.where(df.create_us == NO_TIME, "create_missing", outcome)
+        return pd.DataFrame(
+            {"order_id": df.order_id, "create_us": known_us(df.create_us), "pay_us": known_us(df.pay_us), "outcome": outcome}
+        )
 
-    def _result(self, key, create, pay) -> Row:
-        if create is None:
-            outcome = "create_missing"
-        elif pay is None:
-            outcome = "timeout"
-        else:
-            outcome = "paid" if pay <= create + self.limit_us else "paid_late"
-        return Row(order_id=key[0], create_us=create, pay_us=pay, outcome=outcome)
+    def rows(self, held, fresh):
+        create = fresh.event_type == "create"
+        both = pd.DataFrame(
+            {
+                "order_id": fresh.order_id, "create_us": fresh.us.where(create, NO_TIME),
+                "pay_us": fresh.us.where(~create, NO_TIME), "due_ms": NO_TIME,
+            }
+        )
+        if held is not None:
+            both = pd.concat([held, both])
+        orders = both.groupby("order_id", sort=False, as_index=False).min()
+        first = orders[["create_us", "pay_us"]].min(axis=1)
+        # The deadline stays as the first batch of the order set it.
+        due = orders.due_ms.where(orders.due_ms != NO_TIME, to_ms(first + self.hold_us))
+        orders = orders.assign(due_ms=due)[first != NO_TIME]
+        whole = (orders.create_us != NO_TIME) & (orders.pay_us != NO_TIME)
+        return self._results(orders[whole]), orders[~whole]
 
-    def rows(self, key, rows):
-        create, pay, timer = self.half.get() or (None, None, None)
-        for row in rows:
-            if row.event_type == "create":
-                create = row.us if create is None else min(create, row.us)
-            else:
-                pay = row.us if pay is None else min(pay, row.us)
-        if create is not None and pay is not None:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-                self.half.clear()
-            yield self._result(key, create, pay)
-        else:
-            if timer is None:
-                timer = to_ms((create if create is not None else pay) + self.hold_us)
-                self.handle.registerTimer(timer)
-            self.half.update((create, pay, timer))
+    def due_ms(self, held):
+        return held.due_ms
 
-    def timer(self, key, at_ms):
-        create, pay, _ = self.half.get()
-        self.half.clear()
-        yield self._result(key, create, pay)
+    def expired(self, due):
+        return self._results(due)
 
 
 class Reconcile(GroupProcessor):

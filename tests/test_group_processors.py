@@ -125,7 +125,7 @@ def limits_by_key(batches, limit):
     return out
 
 
-@pytest.mark.parametrize("name", ["pairs", "limits"])
+@pytest.mark.parametrize("name", ["orders", "pairs", "limits"])
 @pytest.mark.parametrize("seed", range(6))
 def test_a_group_equals_its_keys(name, seed):
     rng = random.Random(seed)
@@ -186,7 +186,7 @@ def many_keys(spark, tmp_path_factory):
     return folder, con
 
 
-@pytest.mark.parametrize("name", ["stream_reconcile", "stream_blacklist"])
+@pytest.mark.parametrize("name", ["stream_reconcile", "stream_blacklist", "stream_order_timeout"])
 def test_state_grows_with_groups(spark, many_keys, monkeypatch, name):
     folder, con = many_keys
     monkeypatch.setattr(streams, "MAX_FILES", 1)
